@@ -9,6 +9,7 @@ moved back by whole days so that all tables share one run date.
 from __future__ import annotations
 
 from datetime import date
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -101,7 +102,7 @@ def opportunity(orders: DataFrame) -> DataFrame:
 def exposure(orders: DataFrame) -> DataFrame:
     return orders.selectExpr(
         "concat('CR', o_custkey) AS creditor_id",
-        "CAST(o_totalprice AS DECIMAL(18,2)) AS amount_gbp",
+        "o_totalprice AS amount_gbp",
         "CAST(o_orderdate AS DATE) AS calculated_at_date",
     )
 
@@ -136,7 +137,7 @@ def daily_balance(events: DataFrame) -> DataFrame:
 def payment(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
     return lineitem.join(orders, lineitem.l_orderkey == orders.o_orderkey).selectExpr(
         "concat('CR', o_custkey) AS creditor_id",
-        "CAST(l_extendedprice AS DECIMAL(18,2)) AS amount_gbp",
+        "l_extendedprice AS amount_gbp",
         "l_linestatus = 'F' AS is_paid",
         "l_returnflag = 'R' AS is_charged_back",
         "o_orderstatus = 'P' AS is_failed",
@@ -205,22 +206,24 @@ def result_log(events: DataFrame) -> DataFrame:
 
 
 def sources(spark: SparkSession, sf_dir: str) -> Sources:
-    customer, orders, lineitem, events, region = (
-        raw(spark, sf_dir, n) for n in ("customer", "orders", "lineitem", "events", "region")
-    )
+    read = cache(lambda name: raw(spark, sf_dir, name))
+
+    def over(build, *names: str):
+        return lambda: build(*map(read, names))
+
     return Sources({
-        "creditor": creditor(customer),
-        "organisation": organisation(customer),
-        "organisation_fact": organisation_fact(orders),
-        "opportunity": opportunity(orders),
-        "exposure": exposure(orders),
-        "score_report": score_report(events),
-        "default_prediction": default_prediction(orders),
-        "daily_balance": daily_balance(events),
-        "payment": payment(lineitem, orders),
-        "ticket": ticket(orders),
-        "ticket_field": ticket_field(lineitem),
-        "ticket_group": ticket_group(region),
-        "ticket_org": ticket_org(customer),
-        "result_log": result_log(events),
+        "creditor": over(creditor, "customer"),
+        "organisation": over(organisation, "customer"),
+        "organisation_fact": over(organisation_fact, "orders"),
+        "opportunity": over(opportunity, "orders"),
+        "exposure": over(exposure, "orders"),
+        "score_report": over(score_report, "events"),
+        "default_prediction": over(default_prediction, "orders"),
+        "daily_balance": over(daily_balance, "events"),
+        "payment": over(payment, "lineitem", "orders"),
+        "ticket": over(ticket, "orders"),
+        "ticket_field": over(ticket_field, "lineitem"),
+        "ticket_group": over(ticket_group, "region"),
+        "ticket_org": over(ticket_org, "customer"),
+        "result_log": over(result_log, "events"),
     })

@@ -345,7 +345,7 @@ def rul6(spark, sf):
     FROM (SELECT *, 1 AS one FROM categories) LEFT JOIN portfolio ON one = var1"""))
 def rul7(spark, sf):
     tables = sources(spark, sf)
-    categories = f.category_totals(f.payment_activity(tables, AS_OF), tables)
+    _, categories = f.peer_totals(tables, AS_OF)
     rows = joins.attach_one_row(categories.withColumn("var1", F.lit(1)), f.portfolio_totals(categories), "var1")
     return rows.select("merchant_category_code", rules.reference_rate(600).alias("reference_cb_rate"))
 
@@ -404,7 +404,7 @@ def jon2(spark, sf):
 def jon3(spark, sf):
     """Peer lookup with few, hot keys; a NULL code matches nothing."""
     tables = sources(spark, sf)
-    categories = f.category_totals(f.payment_activity(tables, AS_OF), tables)
+    _, categories = f.peer_totals(tables, AS_OF)
     rows = joins.spread_lookup(f.creditor_details(tables), categories, "merchant_category_code", "creditor_id")
     return rows.select(
         "creditor_id", "merchant_category_code", "mcc_payment_vol_last_12m", "mcc_chargeback_rate_vol_last_12m"
@@ -416,7 +416,7 @@ def jon3(spark, sf):
     FROM details a LEFT JOIN portfolio g ON a.var1 = g.var1"""))
 def jon4(spark, sf):
     tables = sources(spark, sf)
-    totals = f.portfolio_totals(f.category_totals(f.payment_activity(tables, AS_OF), tables))
+    totals = f.portfolio_totals(f.peer_totals(tables, AS_OF)[1])
     rows = joins.attach_one_row(f.creditor_details(tables), totals, "var1")
     return rows.select("creditor_id", "portfolio_payment_vol_last_12m", "portfolio_chargeback_rate_vol_last_12m")
 
@@ -509,14 +509,14 @@ def agg3(spark, sf):
 @check("agg4", x.query("SELECT * FROM categories", "", "mcc_payment_amt_last_12m mcc_chargeback_amt_last_12m"))
 def agg4(spark, sf):
     tables = sources(spark, sf)
-    return f.category_totals(f.payment_activity(tables, AS_OF), tables)
+    return f.peer_totals(tables, AS_OF)[1]
 
 
 @check("agg5", x.query(
     "SELECT * FROM portfolio", "", "portfolio_payment_amt_last_12m portfolio_chargeback_amt_last_12m"))
 def agg5(spark, sf):
     tables = sources(spark, sf)
-    return f.portfolio_totals(f.category_totals(f.payment_activity(tables, AS_OF), tables))
+    return f.portfolio_totals(f.peer_totals(tables, AS_OF)[1])
 
 
 @check("agg6", x.query("""
@@ -811,14 +811,14 @@ def sca14(spark, sf):
 
 
 @check("sca15", f"""
-    SELECT l_orderkey, l_linenumber, {x.grouped('l_extendedprice - 50000', 1)} AS one_digit,
+    SELECT l_orderkey, l_linenumber, {x.grouped('CAST(l_extendedprice AS DECIMAL(18,2)) - 50000', 1)} AS one_digit,
            {x.grouped('l_extendedprice * 10000', 2)} AS two_digits, {x.grouped('l_discount * 100', 2)} AS share
     FROM lineitem""")
 def sca15(spark, sf):
     """Thousands separators, sign and fixed digits."""
     return raw(spark, sf, "lineitem").select(
         "l_orderkey", "l_linenumber",
-        t.grouped(col("l_extendedprice") - 50_000, 1).alias("one_digit"),
+        t.grouped(s.money(col("l_extendedprice")) - 50_000, 1).alias("one_digit"),
         t.grouped(col("l_extendedprice") * 10_000, 2).alias("two_digits"),
         t.percent(col("l_discount")).alias("share"),
     )

@@ -32,7 +32,7 @@ def spread_lookup(
     Rows of a key are divided over ``spread`` partitions by a second column and
     the lookup (one row per key) is repeated that often, so a key holding a
     third of the rows is no single task. Meant for aggregates, which are short;
-    if Spark measures the lookup as small it is broadcast instead.
+    if Spark knows the lookup to be small it is broadcast instead.
     """
     slot = F.pmod(F.hash(spread_by), F.lit(spread)).alias("_slot")
     left = rows.select("*", slot)

@@ -40,6 +40,7 @@ def with_previous(
     oldest_by: Sequence[str],
     previous: dict[str, str],
     bucket: Column,
+    earlier: DataFrame | None = None,
 ) -> DataFrame:
     """Adds the preceding row's values per key, falling back to the row's own.
 
@@ -48,18 +49,24 @@ def with_previous(
     per (key, time bucket); only a bucket's first row needs to look further
     back, and it takes the closing values of the key's last bucket before it.
     Exact as long as ``bucket`` grows with the first ordering column.
+
+    ``earlier`` holds at most one row per key from before all of ``df``. It
+    serves as a predecessor only and is not part of the result.
     """
     sources = list(dict.fromkeys(previous.values()))
-    rows = df.withColumn("_bucket", bucket)
     values = F.struct(*[F.col(c) for c in sources])
+    rows = df.withColumn("_bucket", bucket)
 
     inside = Window.partitionBy(key, "_bucket").orderBy(*_oldest_first(oldest_by))
     stepped = rows.withColumn("_before", F.lag(values).over(inside))
 
-    closing = (
-        latest(rows.select(key, "_bucket", *dict.fromkeys([*oldest_by, *sources])), [key, "_bucket"], oldest_by)
-        .select(F.col(key).alias("_key"), F.col("_bucket").alias("_close"), values.alias("_last"))
-    )
+    closing = latest(
+        rows.select(key, "_bucket", *dict.fromkeys([*oldest_by, *sources])), [key, "_bucket"], oldest_by
+    ).select(F.col(key).alias("_key"), F.col("_bucket").alias("_close"), values.alias("_last"))
+    if earlier is not None:
+        closing = closing.unionByName(
+            earlier.select(F.col(key).alias("_key"), bucket.alias("_close"), values.alias("_last"))
+        )
     across = Window.partitionBy("_key").orderBy(F.col("_close").asc_nulls_first())
     carried = closing.select("_key", "_close", F.lag("_last").over(across).alias("_carried"))
 

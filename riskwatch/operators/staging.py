@@ -3,30 +3,40 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
+_local_folders: dict[str, str] = {}
 
-def _checkpoint_directory(spark: SparkSession) -> str | None:
-    """The shared folder of the cluster; a scratch one only in local mode."""
-    context = spark.sparkContext
-    configured = spark.conf.get(CHECKPOINT_DIR, None)
-    if context.getCheckpointDir() is None:
-        if configured:
-            context.setCheckpointDir(configured)
-        elif context.master.startswith("local"):
-            context.setCheckpointDir(tempfile.mkdtemp(prefix="riskwatch-checkpoint-"))
-    return context.getCheckpointDir()
+
+def _shared_folder(spark: SparkSession) -> str | None:
+    """The folder the cluster names; a scratch one of our own in local mode."""
+    configured = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getCheckpointDir()
+    if configured:
+        return configured.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        return None
+    application = spark.sparkContext.applicationId
+    if application not in _local_folders:
+        _local_folders[application] = tempfile.mkdtemp(prefix="riskwatch-")
+    return _local_folders[application]
 
 
 def stage(df: DataFrame) -> DataFrame:
-    """Writes ``df`` once, so that every later use reads the written rows.
+    """Writes ``df`` as a table once, so that every later use reads that.
 
     Branches that need different columns of an aggregate would otherwise each
-    prune their own copy of it and scan its input again. The checkpoint is
-    reliable storage, so a lost executor costs a re-read. On a cluster without
-    a checkpoint folder the plan is left as it is: same rows, more scans.
+    prune their own copy of it and scan its input again. The table is in shared
+    storage, so a lost executor costs a re-read; its size is known, so Spark
+    broadcasts it in joins exactly when it is small. On a cluster that names no
+    folder the plan is left as it is: same rows, more scans.
     """
-    return df if _checkpoint_directory(df.sparkSession) is None else df.checkpoint()
+    folder = _shared_folder(df.sparkSession)
+    if folder is None:
+        return df
+    path = f"{folder}/staged-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -12,6 +12,7 @@ from riskwatch.functions import scalars as s
 from riskwatch.operators.metrics import Metric, any_window, pivot_fields, titled
 from riskwatch.operators.rows import latest, with_previous
 from riskwatch.operators.rules import managed_label
+from riskwatch.operators.staging import stage
 from riskwatch.sources.result_log import log_field, read_results
 from riskwatch.sources.tables import Sources
 
@@ -126,16 +127,15 @@ def failure_score_change(sources: Sources, as_of: date) -> DataFrame:
     """Yesterday's reports with the score and date of the report before each.
 
     A report's predecessor is either another one of yesterday or the newest
-    earlier one, so history is cut to one row per creditor before anything is
-    ordered. Reports are not deduplicated.
+    earlier one, so history is cut to one row per creditor and only yesterday's
+    rows are ordered. Reports are not deduplicated.
     """
     reports = _scored_reports(sources)
     yesterday = s.as_of_date(as_of, -1)
     order = ["retrieved_at", "db_failure_score_current"]
-    earlier = latest(reports.where(s.day(F.col("retrieved_at")) < yesterday), ["creditor_id"], order)
-    on_day = reports.where(s.day(F.col("retrieved_at")) == yesterday)
+    retrieved_on = s.day(F.col("retrieved_at"))
     stepped = with_previous(
-        earlier.unionByName(on_day),
+        reports.where(retrieved_on == yesterday),
         "creditor_id",
         order,
         {
@@ -143,15 +143,10 @@ def failure_score_change(sources: Sources, as_of: date) -> DataFrame:
             "db_failure_score_last_date": "db_failure_score_current_date",
         },
         bucket=F.date_trunc("hour", F.col("retrieved_at")),
+        earlier=latest(reports.where(retrieved_on < yesterday), ["creditor_id"], order),
     )
-    return (
-        stepped.where(F.col("db_failure_score_current_date") == yesterday)
-        .withColumn(
-            "db_failure_score_change",
-            F.col("db_failure_score_current") - F.col("db_failure_score_last"),
-        )
-        .drop("retrieved_at")
-    )
+    change = F.col("db_failure_score_current") - F.col("db_failure_score_last")
+    return stepped.withColumn("db_failure_score_change", change).drop("retrieved_at")
 
 
 def latest_default_probability(sources: Sources) -> DataFrame:
@@ -245,13 +240,13 @@ def payment_window_metrics(sources: Sources, as_of: date) -> DataFrame:
 def payment_activity(sources: Sources, as_of: date) -> DataFrame:
     """Creditor metrics and the year's totals from one pass over payments.
 
-    Category totals count creditors whose payments all lie outside the windows,
-    so nothing is filtered here; ``rows_in_window`` tells which creditors
-    ``payment_window_metrics`` would have seen.
+    Lets in the union of what both need; ``rows_in_window`` tells which
+    creditors ``payment_window_metrics`` would have seen.
     """
     inside = F.coalesce(any_window(TRAILING, as_of), F.lit(False))
     return (
         sources.table("payment")
+        .where(any_window((*TRAILING, *YEAR), as_of))
         .groupBy("creditor_id")
         .agg(
             F.sum(F.when(inside, F.lit(1)).otherwise(F.lit(0))).alias("rows_in_window"),
@@ -284,20 +279,24 @@ def paid_last_year(sources: Sources, as_of: date) -> DataFrame:
 # --- Peers ------------------------------------------------------------------
 
 
+def _category_members(sources: Sources) -> DataFrame:
+    return (
+        sources.table("creditor")
+        .where(~F.col("is_payment_provider"))
+        .select(F.col("id").alias("creditor_id"), "merchant_category_code")
+    )
+
+
 def category_totals(activity: DataFrame, sources: Sources) -> DataFrame:
     """The year's volumes and chargeback rate per merchant category.
 
     Works on creditor totals, which is exact because sums add up, and keeps raw
-    payments out of the join.
+    payments out of the join. Categories without a payment in the year are
+    missing; ``with_idle_categories`` adds them.
     """
-    creditor = (
-        sources.table("creditor")
-        .where(~F.col("is_payment_provider"))
-        .select(F.col("id").alias("creditor_id"), "merchant_category_code")
-    )
     totals = (
         activity.select("creditor_id", *YEAR_NAMES)
-        .join(creditor, "creditor_id")
+        .join(_category_members(sources), "creditor_id")
         .groupBy("merchant_category_code")
         .agg(*[F.sum(n).alias(f"mcc_{n}") for n in YEAR_NAMES])
     )
@@ -307,6 +306,37 @@ def category_totals(activity: DataFrame, sources: Sources) -> DataFrame:
     )
 
 
+def with_idle_categories(active: DataFrame, sources: Sources) -> DataFrame:
+    """Adds categories whose payments are all older than the year, as zeros.
+
+    Only creditors of categories not seen yet are looked up in the payments'
+    history, in one column of it. There are hardly any, so they are staged:
+    known to be few they are broadcast, and payments are not shuffled.
+    """
+    code = "merchant_category_code"
+    seen = active.select(F.col(code).alias("_seen"))
+    members = _category_members(sources)
+    unseen = stage(members.join(seen, F.col(code).eqNullSafe(F.col("_seen")), "left_anti"))
+    idle = sources.table("payment").select("creditor_id").join(unseen, "creditor_id").select(code).distinct()
+    blank = {
+        field.name: F.lit(None if "rate" in field.name else 0).cast(field.dataType)
+        for field in active.schema.fields
+        if field.name != code
+    }
+    return active.unionByName(idle.withColumns(blank))
+
+
+def peer_totals(sources: Sources, as_of: date, idle: bool = True) -> tuple[DataFrame, DataFrame]:
+    """Creditor activity and category totals, each computed once and staged.
+
+    A merchant with a rate has payments in the year, and so has its category:
+    where only such merchants matter, ``idle=False`` spares the history.
+    """
+    activity = stage(payment_activity(sources, as_of))
+    active = stage(category_totals(activity, sources))
+    return activity, with_idle_categories(active, sources) if idle else active
+
+
 def portfolio_totals(categories: DataFrame) -> DataFrame:
     """The same over all categories, as exactly one row keyed by ``var1``."""
     totals = categories.agg(*[F.sum(f"mcc_{n}").alias(f"portfolio_{n}") for n in YEAR_NAMES])

@@ -11,7 +11,6 @@ from riskwatch import config as c
 from riskwatch.functions.scalars import day, negative_part, strict_double
 from riskwatch.operators.joins import attach_one_row, spread_lookup, star_merge
 from riskwatch.operators.rules import reference_rate
-from riskwatch.operators.staging import stage
 from riskwatch.plans import features as f
 from riskwatch.sources.tables import Sources
 
@@ -64,18 +63,15 @@ def score_drop(sources: Sources, as_of: date, creditor_ids: tuple[str, ...] | No
     )
 
 
-def chargeback(
-    sources: Sources,
-    as_of: date,
-    params: c.ChargebackParams,
-) -> DataFrame:
+def chargeback(sources: Sources, as_of: date, params: c.ChargebackParams, idle: bool = True) -> DataFrame:
     """Payments are read once: their creditor totals are staged, then used for
     the creditor's own rates and, rolled up, for the reference rates.
 
-    Reference rates join the narrow merchant rows before the wide merge.
+    Category totals are staged as well: two relations read them, and their
+    known size decides how they are joined. They meet the narrow merchant rows
+    before the wide merge.
     """
-    activity = stage(f.payment_activity(sources, as_of))
-    categories = f.category_totals(activity, sources)
+    activity, categories = f.peer_totals(sources, as_of, idle)
     details = f.creditor_details(sources, creditor_ids=params.creditor_ids)
     base = spread_lookup(details, categories, "merchant_category_code", spread_by="creditor_id")
     base = attach_one_row(base, f.portfolio_totals(categories), "var1")

@@ -40,7 +40,8 @@ def score_drop(sources: Sources, as_of: date, params=c.ScoreDropParams(), settin
 
 def chargeback(sources: Sources, as_of: date, params=c.ChargebackParams(), settings=DEFAULT_SETTINGS) -> DataFrame:
     """Merchants whose 30-day chargeback rate exceeds the reference rate."""
-    rows = merge.chargeback(sources, as_of, params).withColumns({
+    # An alert needs a rate, so categories without payments cannot show up in one.
+    rows = merge.chargeback(sources, as_of, params, idle=not params.only_alerts).withColumns({
         "merchant_monitoring_qualifyer": rules.qualifies(params.qualifier),
         "chargeback_monitoring_alert": rules.chargeback_alert(params),
     })

@@ -14,6 +14,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Column calls need no call-site capture, which costs a round trip each.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 

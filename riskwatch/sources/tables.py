@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -42,14 +43,19 @@ COLUMNS: dict[str, tuple[str, ...]] = {
 }
 
 
+Table = DataFrame | Callable[[], DataFrame]
+
+
 class Sources:
     """Maps logical table names to lazy DataFrames.
 
     Nothing is read until a result is asked for, and every feature selects the
-    columns it needs, so column pruning and filter pushdown reach the scans.
+    columns it needs, so column pruning and filter pushdown reach the scans. A
+    table may be given as a function, which is called on first use: a process
+    then resolves (lists files, reads the schema of) only the tables it needs.
     """
 
-    def __init__(self, tables: Mapping[str, DataFrame]):
+    def __init__(self, tables: Mapping[str, Table]):
         unknown = sorted(set(tables) - set(COLUMNS))
         if unknown:
             raise ValueError(f"unknown logical tables: {unknown}")
@@ -58,23 +64,25 @@ class Sources:
     @classmethod
     def from_parquet(cls, spark: SparkSession, paths: Mapping[str, str]) -> Sources:
         """Logical name -> parquet path."""
-        return cls({name: spark.read.parquet(path) for name, path in paths.items()})
+        return cls({name: partial(spark.read.parquet, path) for name, path in paths.items()})
 
     @classmethod
     def from_catalog(cls, spark: SparkSession, names: Mapping[str, str]) -> Sources:
         """Logical name -> catalog table (fully or partly qualified)."""
-        return cls({name: spark.table(table) for name, table in names.items()})
+        return cls({name: partial(spark.table, table) for name, table in names.items()})
 
     def table(self, name: str) -> DataFrame:
         if name not in self._tables:
             raise KeyError(f"no table bound for {name!r}")
         df = self._tables[name]
+        if not isinstance(df, DataFrame):
+            df = self._tables[name] = df()
         present = {c.lower() for c in df.columns}
         missing = [c for c in COLUMNS[name] if c.lower() not in present]
         if missing:
             raise ValueError(f"table {name!r} lacks columns {missing}")
         return df
 
-    def replace(self, **tables: DataFrame) -> Sources:
+    def replace(self, **tables: Table) -> Sources:
         """The same sources with some tables swapped."""
         return Sources({**self._tables, **tables})
