@@ -12,7 +12,7 @@ from riskwatch.session import build_session  # noqa: E402
 def spark(tmp_path_factory):
     session = build_session(
         "tests", "local[8]", spark__sql__shuffle__partitions="4", spark__driver__memory="8g",
-        spark__ui__enabled="false", spark__ui__showConsoleProgress="false",
+        spark__ui__enabled="false", spark__sql__maxMetadataStringLength="4000", spark__ui__showConsoleProgress="false",
         spark__checkpoint__dir=str(tmp_path_factory.mktemp("checkpoints")),
     )
     session.sparkContext.setLogLevel("ERROR")
