@@ -7,6 +7,9 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# Most keys a filtering broadcast may hold: some tens of megabytes per executor.
+BROADCAST_KEYS = 500_000
+
 
 def star_merge(base: DataFrame, features: Iterable[DataFrame], on: str) -> DataFrame:
     """Left-joins features of one key onto the base.
@@ -46,3 +49,11 @@ def attach_one_row(rows: DataFrame, single: DataFrame, on: str) -> DataFrame:
     ``single`` has exactly one row, which bounds the broadcast.
     """
     return rows.join(F.broadcast(single), on, "left")
+
+
+def rows_of(facts: DataFrame, keys: DataFrame, on: str) -> DataFrame:
+    """Facts of the given keys, filtered while they are scanned.
+
+    ``keys`` was counted by the caller and has at most ``BROADCAST_KEYS`` rows.
+    """
+    return facts.join(F.broadcast(keys), on, "left_semi")

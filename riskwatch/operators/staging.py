@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
@@ -34,9 +35,18 @@ def stage(df: DataFrame) -> DataFrame:
     broadcasts it in joins exactly when it is small. On a cluster that names no
     folder the plan is left as it is: same rows, more scans.
     """
+    return stage_counted(df)[0]
+
+
+def stage_counted(df: DataFrame) -> tuple[DataFrame, int | None]:
+    """As ``stage``, with the rows counted while they are written.
+
+    The count is None where nothing was staged.
+    """
     folder = _shared_folder(df.sparkSession)
     if folder is None:
-        return df
+        return df, None
     path = f"{folder}/staged-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    written = Observation()
+    df.observe(written, F.count(F.lit(1)).alias("rows")).write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), written.get["rows"]

@@ -1,4 +1,9 @@
-"""Merged relations: one row per creditor with everything a process needs."""
+"""Merged relations: one row per creditor with everything a process needs.
+
+Most processes decide on a few columns and show many. Where the caller passes
+the predicate it decides by as ``keep``, the rows it keeps are staged first, and
+the remaining features are computed for their creditors only.
+"""
 
 from __future__ import annotations
 
@@ -9,8 +14,9 @@ from pyspark.sql import functions as F
 
 from riskwatch import config as c
 from riskwatch.functions.scalars import day, negative_part, strict_double
-from riskwatch.operators.joins import attach_one_row, spread_lookup, star_merge
+from riskwatch.operators.joins import BROADCAST_KEYS, attach_one_row, spread_lookup, star_merge
 from riskwatch.operators.rules import reference_rate
+from riskwatch.operators.staging import stage_counted
 from riskwatch.plans import features as f
 from riskwatch.sources.tables import Sources
 
@@ -39,16 +45,33 @@ def label_day() -> Column:
     return day(F.col(name)).alias(name)
 
 
-def score_drop(sources: Sources, as_of: date, creditor_ids: tuple[str, ...] | None = None) -> DataFrame:
+def _decided(base: DataFrame, keep: Column | None, sources: Sources) -> tuple[DataFrame, Sources]:
+    """The kept rows, and sources reduced to their creditors.
+
+    The rows are counted once they are staged: up to ``BROADCAST_KEYS`` their
+    ids filter the fact scans, beyond that the facts are used as they are. The
+    later left joins give the same rows either way.
+    """
+    if keep is None:
+        return base, sources
+    kept, count = stage_counted(base.where(keep))
+    few = count is not None and count <= BROADCAST_KEYS
+    return kept, sources.of_creditors(kept) if few else sources
+
+
+def score_drop(
+    sources: Sources,
+    as_of: date,
+    creditor_ids: tuple[str, ...] | None = None,
+    keep: Column | None = None,
+) -> DataFrame:
+    """``keep`` may use the merchant's and the score columns."""
     details = f.creditor_details(sources, require_active=True, managed="derived", creditor_ids=creditor_ids)
+    scored = details.join(f.failure_score_change(sources, as_of), "creditor_id", "left")
+    base, reduced = _decided(scored, keep, sources)
     merged = star_merge(
-        details,
-        [
-            f.failure_score_change(sources, as_of),
-            f.latest_exposure(sources),
-            f.yesterday_balance(sources, as_of),
-            f.paid_last_year(sources, as_of),
-        ],
+        base,
+        [f.latest_exposure(reduced), f.yesterday_balance(reduced, as_of), f.paid_last_year(reduced, as_of)],
         "creditor_id",
     )
     return merged.select(
@@ -109,10 +132,10 @@ def chargeback(sources: Sources, as_of: date, params: c.ChargebackParams, idle:
 
 
 def _standard(base: DataFrame, sources: Sources, as_of: date) -> DataFrame:
+    """Scores, balance and payments; the exposure is joined by the caller."""
     return star_merge(
         base,
         [
-            f.latest_exposure(sources),
             f.latest_failure_score(sources).drop("rowno"),
             f.latest_default_probability(sources),
             f.yesterday_balance(sources, as_of),
@@ -122,12 +145,16 @@ def _standard(base: DataFrame, sources: Sources, as_of: date) -> DataFrame:
     )
 
 
+def rounded_exposure(sources: Sources) -> DataFrame:
+    return f.latest_exposure(sources).select("creditor_id", rounded("fds_exposure_current"))
+
+
 def _standard_columns(with_last_payment: bool) -> list:
     return [
         *IDENTITY,
         label_day(),
         "insolvency_flag", "parent_account_id", "parent_account_name", "is_cs_managed", "csm_owner_name",
-        rounded("fds_exposure_current"),
+        "fds_exposure_current",
         *SCORES,
         *PREDICTION,
         balance_now(),
@@ -140,11 +167,13 @@ def _standard_columns(with_last_payment: bool) -> list:
 def negative_balance(
     sources: Sources, as_of: date, creditor_ids: tuple[str, ...] | None = None
 ) -> DataFrame:
+    """Every merchant is in the result, so nothing is decided beforehand."""
     details = f.creditor_details(sources, creditor_ids=creditor_ids)
     history = f.last_alert(
         sources, as_of, c.PROCESS_NEGATIVE_BALANCE, "nb_balance_current", f.BALANCE_HISTORY
     )
-    merged = star_merge(_standard(details, sources, as_of), [history], "creditor_id")
+    base = star_merge(details, [rounded_exposure(sources)], "creditor_id")
+    merged = star_merge(_standard(base, sources, as_of), [history], "creditor_id")
     return merged.select(
         *_standard_columns(with_last_payment=True),
         "ticket_id",
@@ -160,29 +189,36 @@ def sanctioned(
     as_of: date,
     group_name: str = c.CREDIT_GROUP,
     creditor_ids: tuple[str, ...] | None = None,
+    keep: Column | None = None,
 ) -> DataFrame:
-    """Tickets join first: the process keeps merchants with one only, and the
-    filter on them then turns that join into an inner one before the rest."""
-    details = f.creditor_details(sources, creditor_ids=creditor_ids)
+    """``keep`` may use the merchant's columns, the ticket's and the exposure."""
+    amount = "Sanctioned_Credit_Risk_Exposure"
     tickets = f.sanctioned_exposure(sources, group_name).drop("rowno")
-    merged = _standard(details.join(tickets, "creditor_id", "left"), sources, as_of)
-    return merged.select(
-        *_standard_columns(with_last_payment=True),
-        "prev_ticket_id",
-        "created_at",
-        "Sanctioned_Date",
-        strict_double(F.col("Sanctioned_Credit_Risk_Exposure")).alias("Sanctioned_Credit_Risk_Exposure"),
+    tickets = tickets.withColumn(amount, strict_double(F.col(amount)))
+    base = star_merge(
+        f.creditor_details(sources, creditor_ids=creditor_ids), [tickets, rounded_exposure(sources)], "creditor_id"
+    )
+    base, reduced = _decided(base, keep, sources)
+    return _standard(base, reduced, as_of).select(
+        *_standard_columns(with_last_payment=True), "prev_ticket_id", "created_at", "Sanctioned_Date", amount
     )
 
 
 def re_review(
-    sources: Sources, as_of: date, creditor_ids: tuple[str, ...] | None = None
+    sources: Sources,
+    as_of: date,
+    creditor_ids: tuple[str, ...] | None = None,
+    keep: Column | None = None,
 ) -> DataFrame:
-    """One row per creditor and review ticket of its organisation."""
+    """One row per creditor and review ticket of its organisation.
+
+    ``keep`` may use the merchant's and the ticket's columns.
+    """
     details = f.creditor_details(sources, creditor_ids=creditor_ids)
     tickets = f.ticket_review_dates(sources).drop("subject").withColumnRenamed("created_at", "ticket_created_at")
-    merged = _standard(details.join(tickets, "organisation_id", "left"), sources, as_of)
-    return merged.select(
+    base, reduced = _decided(details.join(tickets, "organisation_id", "left"), keep, sources)
+    base = star_merge(base, [rounded_exposure(reduced)], "creditor_id")
+    return _standard(base, reduced, as_of).select(
         *_standard_columns(with_last_payment=False),
         "ticket_id",
         "ticket_created_at",
@@ -191,7 +227,10 @@ def re_review(
     )
 
 
-def insolvency(sources: Sources, as_of: date, params: c.InsolvencyParams) -> DataFrame:
+def insolvency(
+    sources: Sources, as_of: date, params: c.InsolvencyParams, keep: Column | None = None
+) -> DataFrame:
+    """``keep`` may use the merchant's columns."""
     details = f.creditor_details(
         sources,
         require_active=True,
@@ -199,13 +238,12 @@ def insolvency(sources: Sources, as_of: date, params: c.InsolvencyParams) -> Dat
         managed=None,
         creditor_ids=params.creditor_ids,
     )
-    merged = star_merge(
-        details, [f.latest_exposure(sources), f.paid_last_year(sources, as_of)], "creditor_id"
-    )
+    base, reduced = _decided(details, keep, sources)
+    merged = star_merge(base, [rounded_exposure(reduced), f.paid_last_year(reduced, as_of)], "creditor_id")
     return merged.select(
         *IDENTITY,
         label_day(),
         "insolvency_flag", "parent_account_id", "parent_account_name",
-        rounded("fds_exposure_current"),
+        "fds_exposure_current",
         rounded(PAID),
     )

@@ -21,17 +21,18 @@ DEFAULT_SETTINGS = c.TicketSettings()
 
 def score_drop(sources: Sources, as_of: date, params=c.ScoreDropParams(), settings=DEFAULT_SETTINGS) -> DataFrame:
     """Merchants whose external failure score fell sharply yesterday."""
-    rows = merge.score_drop(sources, as_of, params.creditor_ids).withColumns({
+    alert = rules.score_drop_alert(params.bands)
+    keep = F.col("db_failure_score_current_date") == F.date_sub(F.lit(as_of), 1)
+    if params.only_alerts:
+        keep &= alert == c.NEW_ALERT
+    if params.exclude_insolvent:
+        keep &= ~F.col("insolvency_flag")
+    rows = merge.score_drop(sources, as_of, params.creditor_ids, keep).withColumns({
         "merchant_monitoring_qualifyer": rules.qualifies(params.qualifier),
-        "failure_score_monitoring_alert": rules.score_drop_alert(params.bands),
+        "failure_score_monitoring_alert": alert,
     })
     if params.require_qualifier:
         rows = rows.where(F.col("merchant_monitoring_qualifyer") == 1)
-    if params.only_alerts:
-        rows = rows.where(F.col("failure_score_monitoring_alert") == c.NEW_ALERT)
-    if params.exclude_insolvent:
-        rows = rows.where(~F.col("insolvency_flag"))
-    rows = rows.where(F.col("db_failure_score_current_date") == F.date_sub(F.lit(as_of), 1))
     ticket = p.create_ticket(
         settings, p.score_drop_body(settings), p.subject("D&B Score", ""), params.category_tag
     )
@@ -84,8 +85,8 @@ def sanctioned_exposure(
     sources: Sources, as_of: date, params=c.SanctionedExposureParams(), settings=DEFAULT_SETTINGS
 ) -> DataFrame:
     """Merchants whose exposure exceeds the sanctioned amount by a factor."""
-    rows = merge.sanctioned(sources, as_of, params.group_name, params.creditor_ids)
-    rows = rows.where(rules.exceeds_sanctioned(params)).withColumn(
+    keep = rules.exceeds_sanctioned(params)
+    rows = merge.sanctioned(sources, as_of, params.group_name, params.creditor_ids, keep).withColumn(
         "FDS_Increase", safe_divide(F.col("fds_exposure_current"), F.col("Sanctioned_Credit_Risk_Exposure"))
     )
     ticket = p.create_ticket(
@@ -96,8 +97,8 @@ def sanctioned_exposure(
 
 def re_review(sources: Sources, as_of: date, params=c.ReReviewParams(), settings=DEFAULT_SETTINGS) -> DataFrame:
     """Merchants whose ticketed next review date has come up."""
-    rows = merge.re_review(sources, as_of, params.creditor_ids)
-    rows = rows.where(F.col("next_review_date").isin(*params.review_dates))
+    due = F.col("next_review_date").isin(*params.review_dates)
+    rows = merge.re_review(sources, as_of, params.creditor_ids, keep=due)
     ticket = p.create_ticket(
         settings, p.re_review_body(settings), p.subject("Re-Review"), params.category_tag
     )
@@ -109,7 +110,7 @@ def insolvency(sources: Sources, as_of: date, params=c.InsolvencyParams(), setti
     material = (F.col("fds_exposure_current") >= params.min_exposure) | (
         F.col("merchant_payment_amt_gbp_last_365d") >= params.min_paid
     )
-    rows = merge.insolvency(sources, as_of, params).where(F.col("insolvency_flag") & material)
+    rows = merge.insolvency(sources, as_of, params, keep=F.col("insolvency_flag")).where(material)
     if params.limit is not None:
         rows = rows.orderBy("creditor_id").limit(params.limit)
     ticket = p.create_ticket(settings, p.insolvency_body(), F.lit(params.subject), tag=None, assign=False)

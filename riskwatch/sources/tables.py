@@ -6,6 +6,9 @@ from collections.abc import Callable, Mapping
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from riskwatch.operators.joins import rows_of
 
 # Columns each logical table has to offer. Nested columns are named by their
 # root; extra columns are ignored and never read.
@@ -43,6 +46,15 @@ COLUMNS: dict[str, tuple[str, ...]] = {
 }
 
 
+# Fact tables keyed by creditor, and the column that holds it.
+CREDITOR_KEYS = {
+    "exposure": "creditor_id",
+    "score_report": "creditor_id",
+    "default_prediction": "creditor_id",
+    "daily_balance": "owner_id",
+    "payment": "creditor_id",
+}
+
 Table = DataFrame | Callable[[], DataFrame]
 
 
@@ -86,3 +98,11 @@ class Sources:
     def replace(self, **tables: Table) -> Sources:
         """The same sources with some tables swapped."""
         return Sources({**self._tables, **tables})
+
+    def of_creditors(self, creditors: DataFrame) -> Sources:
+        """The same sources with fact rows of the given few creditors only."""
+
+        def filtered(name: str, key: str) -> DataFrame:
+            return rows_of(self.table(name), creditors.select(F.col("creditor_id").alias(key)), key)
+
+        return self.replace(**{n: partial(filtered, n, key) for n, key in CREDITOR_KEYS.items()})

@@ -8,15 +8,23 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from checks import binding
+from checks.features import CHARGEBACK, INSOLVENCY, RE_REVIEW, SCORE_DROP
 from riskwatch import PIPELINES, Sources, run
 from riskwatch import config as c
+from riskwatch.operators import staging
 from riskwatch.operators.joins import spread_lookup
 from riskwatch.operators.rows import latest, with_previous
 from riskwatch.operators.staging import stage
 from riskwatch.plans import features as f
+from riskwatch.plans import merge
 from tests.tables import AS_OF, MERCHANT, ORGANISATION, SCHEMAS, days, make_sources, paid, report
 
 
+SF_DIR = "/root/testdata/sf0.01"
+PARAMS = {c.PROCESS_SCORE_DROP: SCORE_DROP, c.PROCESS_RE_REVIEW: RE_REVIEW, c.PROCESS_INSOLVENCY: INSOLVENCY}
+
+
 @pytest.fixture(scope="module")
 def stored(spark, tmp_path_factory):
     """Sources over parquet files, and their folder."""
@@ -113,9 +121,34 @@ def test_score_history_is_shuffled_as_one_row_per_creditor(stored):
     assert len(history) == 1
 
 
-def test_due_reviews_restrict_the_merge_first(stored, no_broadcast):
+def test_due_reviews_are_decided_before_facts_are_read(stored, no_broadcast):
+    """The few creditors with a due ticket filter the fact scans."""
     text = plan(run(c.PROCESS_RE_REVIEW, stored, AS_OF))
-    assert re.search(r"SortMergeJoin \[organisation_id#\d+\], \[organisation_id#\d+\], Inner", text)
+    assert "ticket_field_title" not in text
+    assert text.count("LeftSemi, BuildRight") == 5
+    payments = text[text.index("charged_back_date"):]
+    assert payments.index("LeftSemi") < payments.index("FileScan")
+
+
+@pytest.mark.parametrize("name", [c.PROCESS_SCORE_DROP, c.PROCESS_SANCTIONED, c.PROCESS_RE_REVIEW, c.PROCESS_INSOLVENCY])
+def test_many_decided_rows_leave_the_facts_as_they_are(spark, monkeypatch, name):
+    """Beyond the broadcast limit nothing is filtered, and the rows are the same."""
+    sources, params = binding.sources(spark, SF_DIR), PARAMS.get(name)
+    few = run(name, sources, binding.AS_OF, params)
+    monkeypatch.setattr(merge, "BROADCAST_KEYS", -1)
+    many = run(name, sources, binding.AS_OF, params)
+    assert "LeftSemi" in plan(few) and "LeftSemi" not in plan(many)
+    assert few.count() > 0
+    assert sorted(map(str, few.collect())) == sorted(map(str, many.collect()))
+
+
+def test_without_a_shared_folder_the_plan_stays_lazy(spark, monkeypatch):
+    sources = binding.sources(spark, SF_DIR)
+    staged = run(c.PROCESS_CHARGEBACK, sources, binding.AS_OF, CHARGEBACK)
+    monkeypatch.setattr(staging, "_shared_folder", lambda _: None)
+    lazy = run(c.PROCESS_CHARGEBACK, sources, binding.AS_OF, CHARGEBACK)
+    assert "staged-" in plan(staged) and "staged-" not in plan(lazy)
+    assert sorted(map(str, staged.collect())) == sorted(map(str, lazy.collect()))
 
 
 def test_staged_rows_are_written_once_and_keep_their_types(spark):
