@@ -334,7 +334,7 @@ def peer_totals(sources: Sources, as_of: date, idle: bool = True) -> tuple[DataF
     """
     activity = stage(payment_activity(sources, as_of))
     active = stage(category_totals(activity, sources))
-    return activity, with_idle_categories(active, sources) if idle else active
+    return activity, stage(with_idle_categories(active, sources)) if idle else active
 
 
 def portfolio_totals(categories: DataFrame) -> DataFrame:

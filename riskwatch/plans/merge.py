@@ -86,28 +86,36 @@ def score_drop(
     )
 
 
-def chargeback(sources: Sources, as_of: date, params: c.ChargebackParams, idle: bool = True) -> DataFrame:
+def chargeback(
+    sources: Sources,
+    as_of: date,
+    params: c.ChargebackParams,
+    idle: bool = True,
+    keep: Column | None = None,
+) -> DataFrame:
     """Payments are read once: their creditor totals are staged, then used for
     the creditor's own rates and, rolled up, for the reference rates.
 
     Category totals are staged as well: two relations read them, and their
     known size decides how they are joined. They meet the narrow merchant rows
-    before the wide merge.
+    before the wide merge. ``keep`` may use the merchant's columns, the rates
+    and the history.
     """
     activity, categories = f.peer_totals(sources, as_of, idle)
     details = f.creditor_details(sources, creditor_ids=params.creditor_ids)
     base = spread_lookup(details, categories, "merchant_category_code", spread_by="creditor_id")
     base = attach_one_row(base, f.portfolio_totals(categories), "var1")
+    base = base.withColumn("reference_cb_rate", reference_rate(params.min_peer_chargebacks))
     history = f.last_alert(sources, as_of, c.PROCESS_CHARGEBACK, "cb_rate_30days", f.CHARGEBACK_HISTORY)
+    rates = f.payment_rates(f.windowed_part(activity))
+    base, reduced = _decided(star_merge(base, [rates, history], "creditor_id"), keep, sources)
     merged = star_merge(
         base,
         [
-            f.latest_exposure(sources),
-            f.latest_failure_score(sources).drop("rowno"),
-            f.yesterday_balance(sources, as_of),
-            f.payment_rates(f.windowed_part(activity)),
-            history,
-            f.latest_default_probability(sources),
+            f.latest_exposure(reduced),
+            f.latest_failure_score(reduced).drop("rowno"),
+            f.yesterday_balance(reduced, as_of),
+            f.latest_default_probability(reduced),
         ],
         "creditor_id",
     )
@@ -124,7 +132,7 @@ def chargeback(sources: Sources, as_of: date, params: c.ChargebackParams, idle:
         *RATES_90,
         *[f"mcc_{n}" for n in names],
         *[f"portfolio_{n}" for n in names],
-        reference_rate(params.min_peer_chargebacks).alias("reference_cb_rate"),
+        "reference_cb_rate",
         "ticket_id",
         *f.CHARGEBACK_HISTORY.values(),
         *PREDICTION,

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskwatch import config as c
-from riskwatch.functions.scalars import in_set, safe_divide, safe_subtract
+from riskwatch.functions.scalars import safe_divide, safe_subtract
 from riskwatch.operators import rules
 from riskwatch.plans import features, merge
 from riskwatch.plans import payloads as p
@@ -41,16 +41,15 @@ def score_drop(sources: Sources, as_of: date, params=c.ScoreDropParams(), settin
 
 def chargeback(sources: Sources, as_of: date, params=c.ChargebackParams(), settings=DEFAULT_SETTINGS) -> DataFrame:
     """Merchants whose 30-day chargeback rate exceeds the reference rate."""
+    alert = rules.chargeback_alert(params)
+    keep = alert != c.NO_ALERT if params.only_alerts else None
     # An alert needs a rate, so categories without payments cannot show up in one.
-    rows = merge.chargeback(sources, as_of, params, idle=not params.only_alerts).withColumns({
+    rows = merge.chargeback(sources, as_of, params, idle=not params.only_alerts, keep=keep).withColumns({
         "merchant_monitoring_qualifyer": rules.qualifies(params.qualifier),
-        "chargeback_monitoring_alert": rules.chargeback_alert(params),
+        "chargeback_monitoring_alert": alert,
     })
     if params.require_qualifier:
         rows = rows.where(F.col("merchant_monitoring_qualifyer") == 1)
-    if params.only_alerts:
-        alerts = (c.NEW_ALERT, c.CHARGEBACK_INCREASE, c.CHARGEBACK_RETRIGGER)
-        rows = rows.where(in_set(F.col("chargeback_monitoring_alert"), alerts))
     ticket = p.create_ticket(
         settings, p.chargeback_body(settings), p.subject("Chargebacks", "N/A"), params.category_tag
     )
