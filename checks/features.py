@@ -86,7 +86,10 @@ def fea9(spark, sf):
     FROM merged_chargeback"""))
 def fea10(spark, sf):
     """Category, portfolio and fallback rate for every merchant."""
-    return merge.chargeback(sources(spark, sf), AS_OF, CHARGEBACK).select(
+    tables = sources(spark, sf)
+    _, categories = f.peer_totals(tables, AS_OF)
+    rows = f.peer_reference_rate(f.creditor_details(tables), categories, CHARGEBACK.min_peer_chargebacks)
+    return rows.select(
         "creditor_id", "merchant_category_code", "mcc_chargeback_vol_last_12m",
         "mcc_chargeback_rate_vol_last_12m", "portfolio_chargeback_vol_last_12m",
         "portfolio_chargeback_rate_vol_last_12m", "reference_cb_rate",

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
-_local_folders: dict[str, str] = {}
+# Scratch folders of local sessions; removed when the interpreter ends.
+_local_folders: dict[str, tempfile.TemporaryDirectory] = {}
 
 
 def _shared_folder(spark: SparkSession) -> str | None:
@@ -22,8 +23,8 @@ def _shared_folder(spark: SparkSession) -> str | None:
         return None
     application = spark.sparkContext.applicationId
     if application not in _local_folders:
-        _local_folders[application] = tempfile.mkdtemp(prefix="riskwatch-")
-    return _local_folders[application]
+        _local_folders[application] = tempfile.TemporaryDirectory(prefix="riskwatch-", ignore_cleanup_errors=True)
+    return _local_folders[application].name
 
 
 def stage(df: DataFrame) -> DataFrame:

@@ -9,10 +9,11 @@ from pyspark.sql import functions as F
 
 from riskwatch import config as c
 from riskwatch.functions import scalars as s
+from riskwatch.operators.joins import attach_one_row, spread_lookup
 from riskwatch.operators.metrics import Metric, any_window, pivot_fields, titled
 from riskwatch.operators.rows import latest, with_previous
-from riskwatch.operators.rules import managed_label
-from riskwatch.operators.staging import stage
+from riskwatch.operators.rules import managed_label, reference_rate
+from riskwatch.operators.staging import stage, stage_counted
 from riskwatch.sources.result_log import log_field, read_results
 from riskwatch.sources.tables import Sources
 
@@ -310,20 +311,22 @@ def with_idle_categories(active: DataFrame, sources: Sources) -> DataFrame:
     """Adds categories whose payments are all older than the year, as zeros.
 
     Only creditors of categories not seen yet are looked up in the payments'
-    history, in one column of it. There are hardly any, so they are staged:
+    history, in one column of it, and mostly there are none. They are staged:
     known to be few they are broadcast, and payments are not shuffled.
     """
     code = "merchant_category_code"
     seen = active.select(F.col(code).alias("_seen"))
     members = _category_members(sources)
-    unseen = stage(members.join(seen, F.col(code).eqNullSafe(F.col("_seen")), "left_anti"))
+    unseen, count = stage_counted(members.join(seen, F.col(code).eqNullSafe(F.col("_seen")), "left_anti"))
+    if count == 0:
+        return active
     idle = sources.table("payment").select("creditor_id").join(unseen, "creditor_id").select(code).distinct()
     blank = {
         field.name: F.lit(None if "rate" in field.name else 0).cast(field.dataType)
         for field in active.schema.fields
         if field.name != code
     }
-    return active.unionByName(idle.withColumns(blank))
+    return stage(active.unionByName(idle.withColumns(blank)))
 
 
 def peer_totals(sources: Sources, as_of: date, idle: bool = True) -> tuple[DataFrame, DataFrame]:
@@ -334,7 +337,7 @@ def peer_totals(sources: Sources, as_of: date, idle: bool = True) -> tuple[DataF
     """
     activity = stage(payment_activity(sources, as_of))
     active = stage(category_totals(activity, sources))
-    return activity, stage(with_idle_categories(active, sources)) if idle else active
+    return activity, with_idle_categories(active, sources) if idle else active
 
 
 def portfolio_totals(categories: DataFrame) -> DataFrame:
@@ -349,6 +352,14 @@ def portfolio_totals(categories: DataFrame) -> DataFrame:
     )
 
 
+def peer_reference_rate(details: DataFrame, categories: DataFrame, min_chargebacks: int) -> DataFrame:
+    """Merchants with their category's and the portfolio's totals, and the rate
+    to compare with: the category's if it has enough chargebacks."""
+    rows = spread_lookup(details, categories, "merchant_category_code", spread_by="creditor_id")
+    rows = attach_one_row(rows, portfolio_totals(categories), "var1")
+    return rows.withColumn("reference_cb_rate", reference_rate(min_chargebacks))
+
+
 # --- History and tickets ----------------------------------------------------
 
 

@@ -14,8 +14,7 @@ from pyspark.sql import functions as F
 
 from riskwatch import config as c
 from riskwatch.functions.scalars import day, negative_part, strict_double
-from riskwatch.operators.joins import BROADCAST_KEYS, attach_one_row, spread_lookup, star_merge
-from riskwatch.operators.rules import reference_rate
+from riskwatch.operators.joins import BROADCAST_KEYS, star_merge
 from riskwatch.operators.staging import stage_counted
 from riskwatch.plans import features as f
 from riskwatch.sources.tables import Sources
@@ -103,9 +102,7 @@ def chargeback(
     """
     activity, categories = f.peer_totals(sources, as_of, idle)
     details = f.creditor_details(sources, creditor_ids=params.creditor_ids)
-    base = spread_lookup(details, categories, "merchant_category_code", spread_by="creditor_id")
-    base = attach_one_row(base, f.portfolio_totals(categories), "var1")
-    base = base.withColumn("reference_cb_rate", reference_rate(params.min_peer_chargebacks))
+    base = f.peer_reference_rate(details, categories, params.min_peer_chargebacks)
     history = f.last_alert(sources, as_of, c.PROCESS_CHARGEBACK, "cb_rate_30days", f.CHARGEBACK_HISTORY)
     rates = f.payment_rates(f.windowed_part(activity))
     base, reduced = _decided(star_merge(base, [rates, history], "creditor_id"), keep, sources)
