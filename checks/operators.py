@@ -7,14 +7,14 @@ from datetime import date
 from pyspark.sql import functions as F
 
 from checks import ctes as x
-from checks.binding import AS_OF, EVENT_SHIFT, raw, sources
+from checks.binding import AS_OF, raw, sources
 from checks.features import CHARGEBACK, INSOLVENCY, QUALIFIER
 from checks.registry import check
 from riskwatch import config as c
 from riskwatch.functions import scalars as s
 from riskwatch.functions import text as t
 from riskwatch.operators import joins, rules
-from riskwatch.operators.metrics import Metric, any_window, pivot_fields, titled
+from riskwatch.operators.metrics import any_window, pivot_fields, titled
 from riskwatch.operators.rows import latest, with_previous
 from riskwatch.plans import features as f
 from riskwatch.plans import merge, pipelines
