@@ -18,7 +18,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 WORD = r"[^\x20\x09-\x0D]+"
-SPACE = r"[\x20\x09-\x0D]+"
 BLANKS = " \t\n\x0b\x0c\r"
 NOT_SYMBOL = r"[^#*$%&|<>]+"
 
@@ -71,30 +70,30 @@ def _only(text: Column, not_wanted: str) -> Column:
 def _windows() -> Column:
     """The three-word windows with their places, ordered by their words.
 
-    The hash comes first for fast comparisons; the words decide. Words hold no
-    space, so joining by one keeps different windows apart.
+    Built without a lambda from the words and the words shifted by one and two.
+    The last two places have no third word and so equal nothing.
     """
-    words = F.col("_words")
-    firsts = F.slice(words, 1, F.greatest(F.size(words) - 2, F.lit(0)))
+    words, n = F.col("_words"), F.size("_words")
+    shifted = [F.slice(words, 2, n).alias("b"), F.slice(words, 3, n).alias("c")]
+    return F.sort_array(F.arrays_zip(words.alias("a"), *shifted, F.sequence(F.lit(0), n - 1).alias("at")))
 
-    def window(word: Column, at: Column) -> Column:
-        joined = F.concat_ws(" ", word, F.get(words, at + 1), F.get(words, at + 2))
-        return F.struct(F.xxhash64(joined).alias("h"), joined.alias("g"), at.alias("at"))
 
-    return F.sort_array(F.transform(firsts, window))
+def _like_neighbour(step: int) -> Column:
+    """Places of windows that equal the next (1) or the last (-1) one in order."""
+    windows = F.col("_windows")
 
+    def same(x: Column, k: Column) -> Column:
+        y = F.get(windows, k + step)
+        return F.coalesce((x["a"] == y["a"]) & (x["b"] == y["b"]) & (x["c"] == y["c"]), F.lit(False))
 
-def _repeated() -> Column:
-    """First places of windows that occur twice or more, ascending."""
-    windows = F.col("_windows")
+    return F.filter(windows, same).getField("at")
 
-    def same(a: Column, b: Column) -> Column:
-        return F.coalesce((a["h"] == b["h"]) & (a["g"] == b["g"]), F.lit(False))
 
-    twice = F.filter(
-        windows, lambda x, k: same(x, F.get(windows, k - 1)) | same(x, F.get(windows, k + 1))
-    )
-    return F.array_sort(F.transform(twice, lambda x: x["at"]))
+def _repeated() -> Column:
+    """Places of windows that occur twice or more, ascending."""
+    later = F.col("_later")
+    both = F.sort_array(F.array_union(later, _like_neighbour(1)))
+    return F.when(F.size(later) > 0, both).otherwise(later)
 
 
 def _covered() -> Column:
@@ -117,7 +116,7 @@ def quality_rules(docs: DataFrame) -> DataFrame:
     counted = split.select(
         "doc_id",
         _long(F.size("_words"), "n_words"),
-        _long(_only(F.col("_text"), SPACE), "word_chars"),
+        _long(F.char_length(F.array_join("_words", "")), "word_chars"),
         _long(_only(F.col("_text"), NOT_SYMBOL), "n_symbols"),
         _long(F.size("_lines") - F.size(F.array_distinct("_lines")), "n_dup_lines"),
         _long(F.size("_lines"), "n_lines"),
@@ -127,7 +126,8 @@ def quality_rules(docs: DataFrame) -> DataFrame:
         _long(F.size(F.array_except(F.array(*map(F.lit, STOP_WORDS)), F.col("_words"))), "_missing"),
         _windows().alias("_windows"),
     )
-    placed = counted.select(
+    compared = counted.select("*", _like_neighbour(-1).alias("_later"))
+    placed = compared.select(
         *[c for c in counted.columns if c != "_windows"], _repeated().alias("_places")
     )
     full = placed.select(
