@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskwatch.llm import decontaminate, quality
+from riskwatch.llm import decontaminate, near_dedup, quality
 from riskwatch.llm.common import table
 
 
@@ -16,8 +16,13 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op4_decontamination, op7_quality_rules)}
+def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), size=3, percent=85)
+
+
+QUERIES = {f.__name__: f for f in (op4_decontamination, op7_quality_rules, op9_near_dedup)}
 ORACLES = {
     "op4_decontamination": decontaminate.oracle(),
     "op7_quality_rules": quality.oracle(),
+    "op9_near_dedup": near_dedup.oracle(),
 }
