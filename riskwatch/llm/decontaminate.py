@@ -186,6 +186,12 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) ->
     )
 
 
+def clean(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) -> DataFrame:
+    """``docs`` without the contaminated ones, all columns kept."""
+    hit = decontaminate(docs, benchmark, size).where("contaminated").select("doc_id").distinct()
+    return docs.join(stage(hit, "contaminated"), "doc_id", "left_anti").select(*docs.columns)
+
+
 def oracle(size: int = WINDOW) -> str:
     """Brute force in DuckDB's SQL: every window of every length that occurs."""
     lower = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"

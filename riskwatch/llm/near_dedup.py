@@ -306,6 +306,23 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, rows: int
     )
 
 
+def one_of_each(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
+    """``docs`` with one document of each group, all columns kept.
+
+    The ids to leave out are a table; Spark broadcasts it if it is small. Rows
+    that repeat an id are one document and leave one row; rows without an id all
+    stay.
+    """
+    judged = near_duplicates(docs, size, percent)
+    dropped = stage(judged.where(~F.col("kept")).select("doc_id").distinct(), "dropped")
+    repeated = docs.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.count(F.lit(1)).alias("_rows"))
+    repeated = stage(repeated.where(F.col("_rows") > 1).select("doc_id"), "repeated")
+    kept = docs.join(dropped, "doc_id", "left_anti")
+    single = kept.join(repeated, "doc_id", "left_anti")
+    once = kept.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return single.unionByName(once).select(*docs.columns)
+
+
 def oracle(size: int = 3, percent: int = 85) -> str:
     """Brute force over shared shingles in DuckDB's SQL."""
     lower = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"

@@ -5,8 +5,8 @@ another one, so nothing is shuffled and a hot source is like any other.
 
 Defined results: a null text has no words, and like an empty text it fails the
 base rule (fewer than 50 words). A null ``doc_id`` stays null. Repeated rows are
-judged one by one. Columns other than ``doc_id`` and ``text`` are not read, so
-they may have any name. An empty table gives an empty one.
+judged one by one. ``passing`` carries all columns as one value, so they may have
+any name. An empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -103,18 +103,18 @@ def _covered() -> Column:
     return F.aggregate(steps, F.lit(0), lambda total, step: total + step)
 
 
-def quality_rules(docs: DataFrame) -> DataFrame:
-    """doc_id, the counts, ``base_failed`` and ``kept`` per row of ``docs``."""
+def _judged(docs: DataFrame, carried: Column) -> DataFrame:
+    """``carried`` as ``_row``, the counts and the verdict per row of ``docs``."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    start = docs.select("doc_id", text.alias("_text"))
+    start = docs.select(carried.alias("_row"), text.alias("_text"))
     split = start.select(
-        "doc_id",
+        "_row",
         "_text",
         F.regexp_extract_all("_text", F.lit(WORD), F.lit(0)).alias("_words"),
         F.filter(F.split("_text", "\n", -1), lambda line: F.btrim(line, F.lit(BLANKS)) != "").alias("_lines"),
     )
     counted = split.select(
-        "doc_id",
+        "_row",
         _long(F.size("_words"), "n_words"),
         _long(F.char_length(F.array_join("_words", "")), "word_chars"),
         _long(_only(F.col("_text"), NOT_SYMBOL), "n_symbols"),
@@ -141,10 +141,20 @@ def quality_rules(docs: DataFrame) -> DataFrame:
     )
     broken = reduce(Column.__or__, [100 * F.col(r.part) > r.percent * F.col(r.whole) for r in RULES])
     return full.select(
-        "doc_id", *COUNTS, base_failed.alias("base_failed"), (~base_failed & ~broken).alias("kept"), *REPORT
+        "_row", *COUNTS, base_failed.alias("base_failed"), (~base_failed & ~broken).alias("kept"), *REPORT
     )
 
 
+def quality_rules(docs: DataFrame) -> DataFrame:
+    """doc_id, the counts, ``base_failed`` and ``kept`` per row of ``docs``."""
+    return _judged(docs, F.col("doc_id")).withColumnRenamed("_row", "doc_id")
+
+
+def passing(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that every rule lets pass, with all their columns."""
+    return _judged(docs, F.struct("*")).where("kept").select("_row.*")
+
+
 def _sql_rule(rule: Rule) -> str:
     return f"100 * {rule.part} > {rule.percent} * {rule.whole}"
 

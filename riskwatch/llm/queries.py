@@ -4,23 +4,49 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskwatch.llm import decontaminate, near_dedup, quality
+from riskwatch.llm import decontaminate, near_dedup, pieces, pii, quality, secrets, token_counts, token_output
 from riskwatch.llm.common import table
 
 
+def op1_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_output.token_files(table(spark, sf_dir, "documents"))
+
+
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find_pii(table(spark, sf_dir, "documents"))
+
+
+def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.find_secrets(table(spark, sf_dir, "documents"))
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(table(spark, sf_dir, "documents"))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(table(spark, sf_dir, "documents"))
 
 
+def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encode(table(spark, sf_dir, "documents"))
+
+
 def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), size=3, percent=85)
 
 
-QUERIES = {f.__name__: f for f in (op4_decontamination, op7_quality_rules, op9_near_dedup)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_token_output, op2_pii, op3_secrets, op4_decontamination, op5_token_counts, op7_quality_rules,
+        op8_sentencepiece, op9_near_dedup,
+    )
+}
 ORACLES = {
     "op4_decontamination": decontaminate.oracle(),
     "op7_quality_rules": quality.oracle(),
