@@ -45,7 +45,12 @@ DOCS = 1000
 JOINED = 2000
 NO_ID = -(2**63)
 
-_OTHER_SPACE = re.compile(r"[\t\r\x0b\x0c\x1c-\x1f\x85\xa0  -     　]")
+# White space other than the space and the line feed.
+_SPACES = (
+    0x9, 0xB, 0xC, 0xD, 0x1C, 0x1D, 0x1E, 0x1F, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F,
+    0x205F, 0x3000,
+)
+_OTHER_SPACE = re.compile(f"[{''.join(map(chr, _SPACES))}]")
 _MANIFEST = "shard int, file string, n_docs long, n_tokens long"
 
 
