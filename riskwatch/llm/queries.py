@@ -4,7 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskwatch.llm import decontaminate, near_dedup, pieces, pii, quality, secrets, token_counts, token_output
+from riskwatch.llm import (
+    decontaminate,
+    html_text,
+    near_dedup,
+    pieces,
+    pii,
+    quality,
+    secrets,
+    suffix_dedup,
+    token_counts,
+    token_output,
+)
 from riskwatch.llm.common import table
 
 
@@ -28,6 +39,10 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"))
 
 
+def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(table(spark, sf_dir, "documents"))
 
@@ -40,15 +55,20 @@ def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), size=3, percent=85)
 
 
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.dedup(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
-        op1_token_output, op2_pii, op3_secrets, op4_decontamination, op5_token_counts, op7_quality_rules,
-        op8_sentencepiece, op9_near_dedup,
+        op1_token_output, op2_pii, op3_secrets, op4_decontamination, op5_token_counts, op6_html_text,
+        op7_quality_rules, op8_sentencepiece, op9_near_dedup, op10_suffix_dedup,
     )
 }
 ORACLES = {
     "op4_decontamination": decontaminate.oracle(),
     "op7_quality_rules": quality.oracle(),
     "op9_near_dedup": near_dedup.oracle(),
+    "op10_suffix_dedup": suffix_dedup.oracle(),
 }
