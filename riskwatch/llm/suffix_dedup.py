@@ -437,14 +437,18 @@ def oracle(length: int = LENGTH) -> str:
     return f"""
 WITH d AS (
   SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents
+), c AS (
+  SELECT doc_id, h, unnest(range(0, len(h) // 2 - {length} + 1, 256)) AS o FROM d WHERE len(h) >= {2 * length}
+), parts AS (
+  SELECT doc_id, o, substr(h, 2 * o + 1, 2 * (255 + {length})) AS h FROM c
 ), s AS (
-  SELECT doc_id, h, unnest(range(0, len(h) // 2 - {length} + 1)) AS p FROM d WHERE len(h) >= {2 * length}
+  SELECT doc_id, o, h, unnest(range(0, len(h) // 2 - {length} + 1)) AS q FROM parts
 ), w AS (
-  SELECT doc_id, p, doc_id * {1 << 27} + p AS o, hash(substr(h, 2 * p + 1, {2 * length})) AS g FROM s
+  SELECT doc_id, o + q AS p, doc_id * {1 << 27} + o + q AS k, hash(substr(h, 2 * q + 1, {2 * length})) AS g FROM s
 ), first AS (
-  SELECT g, min(o) AS f FROM w GROUP BY g HAVING count(*) > 1
+  SELECT g, min(k) AS f FROM w GROUP BY g HAVING count(*) > 1
 ), hit AS (
-  SELECT doc_id, p FROM w JOIN first USING (g) WHERE o > f
+  SELECT doc_id, p FROM w JOIN first USING (g) WHERE k > f
 ), steps AS (
   SELECT doc_id, p, p > lag(p, 1, -{2 * length}) OVER o + {length} AS fresh FROM hit WINDOW o AS (PARTITION BY doc_id ORDER BY p)
 ), runs AS (
