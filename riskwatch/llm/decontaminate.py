@@ -62,8 +62,10 @@ def rarest_terms(docs: DataFrame, windows: DataFrame) -> DataFrame:
     """
     places = windows.select("window", F.posexplode("window").alias("at", "term"))
     tokens = docs.select(F.explode(words_of(F.col("text"))).alias("term"))
+    # A written table has a known size, by which Spark chooses the join.
+    terms = stage(places.select("term").distinct(), "terms")
     counts = (
-        tokens.join(places.select("term").distinct(), "term", "left_semi")
+        tokens.join(terms, "term", "left_semi")
         .groupBy("term")
         .agg(F.count(F.lit(1)).alias("n"))
     )
@@ -93,10 +95,11 @@ def occurrences(docs: DataFrame, windows: DataFrame) -> tuple[DataFrame, DataFra
         ),
         "windows",
     )
-    terms = (
+    terms = stage(
         numbered.select(F.explode(F.array("first", "second")).alias("term"))
         .unionByName(docs.sparkSession.range(1).select(F.lit(END).alias("term")))
-        .distinct()
+        .distinct(),
+        "terms",
     )
     index = positional_index(docs, terms)
 
@@ -114,8 +117,9 @@ def occurrences(docs: DataFrame, windows: DataFrame) -> tuple[DataFrame, DataFra
         .groupBy("doc_id", F.floor(F.col("start") / 512).alias("part"))
         .agg(F.collect_list(F.struct("start", "window_id", "window")).alias("found"))
     )
-    texts = docs.select("doc_id", words_of(F.col("text")).alias("words"))
-    checked = candidates.join(texts, "doc_id").select(
+    # Texts travel as they are and are cut into words behind the join.
+    texts = docs.select("doc_id", "text").join(stage(candidates, "candidates"), "doc_id")
+    checked = texts.select("doc_id", "found", words_of(F.col("text")).alias("words")).select(
         "doc_id",
         F.explode(
             F.filter(
