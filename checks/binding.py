@@ -145,8 +145,8 @@ def payment(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
         "l_returnflag = 'A' AS is_refunded",
         "o_orderdate AS charge_date",
         "l_shipdate AS charged_back_date",
-        "l_shipdate AS failed_or_late_failure_date",
-        "l_shipdate AS refund_created_at",
+        "l_shipdate + make_dt_interval(3 * l_linenumber) AS failed_or_late_failure_date",
+        "l_shipdate - make_dt_interval(5 * l_linenumber) AS refund_created_at",
     )
 
 
@@ -188,7 +188,7 @@ def ticket_org(customer: DataFrame) -> DataFrame:
         customer.selectExpr("c_custkey div 4 AS id")
         .groupBy("id")
         .count()
-        .selectExpr("id", "concat('OR', id) AS gc_organization_id")
+        .selectExpr("id", "concat('OR', id) AS organisation_key")
     )
 
 

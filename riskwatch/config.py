@@ -88,10 +88,12 @@ APPLY_BALANCE_LIMITS = "ActionField_ApplyNegBalanceLimits"
 class TicketSettings:
     """Ids, links and footer of the ticket system a deployment talks to.
 
-    The ids default to the specified ones. Link prefixes and the footer belong
-    to the deployment and are placeholders until it sets them.
+    Link prefixes and the footer belong to the deployment and are placeholders
+    until it sets them.
     """
 
+    # The specified ids of the ticket system.
+
     brand_id: int = 3285009
     group_id: int = 360005611314
     requester_id: int = 9724439852828
@@ -170,7 +172,8 @@ class SanctionedExposureParams:
 
 @dataclass(frozen=True)
 class ReReviewParams:
-    review_dates: tuple[date, ...] = (date(2024, 11, 7), date(2024, 11, 8))
+    #: Review dates that are due; None: the run date and the day after.
+    review_dates: tuple[date, ...] | None = None
     category_tag: str = "credit__monitoring_rr"
     creditor_ids: tuple[str, ...] | None = None
 
@@ -181,7 +184,7 @@ class InsolvencyParams:
     min_exposure: float = 100_000
     min_paid: float = 1_000_000
     subject: str = "This is s test do not Panic!!! 1"
-    limit: int | None = 1
+    limit: int | None = None
     creditor_ids: tuple[str, ...] | None = None
 
 
@@ -198,7 +201,7 @@ class TicketUpdateParams:
     exposure_value: str = "55555"
     fraud_score_value: str = "123"
     body: str = "This is a test editing the ticket"
-    limit: int | None = 1
+    limit: int | None = None
 
 
 @dataclass(frozen=True)

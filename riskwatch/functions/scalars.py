@@ -92,8 +92,11 @@ def negative_part(amount: Column) -> Column:
 
 
 def json_value(document: Column, key: str) -> Column:
-    """A scalar of a JSON text; NULL when absent, JSON null or malformed."""
-    return F.get_json_object(document, f"$.{key}")
+    """A scalar of a JSON text; NULL when absent, JSON null, malformed, an object
+    or an array."""
+    found = F.try_variant_get(F.try_parse_json(document), f"$.{key}", "variant")
+    nested = F.schema_of_variant(found).rlike("^(OBJECT|ARRAY)")
+    return F.when(~nested, F.get_json_object(document, f"$.{key}"))
 
 
 def to_json_text(value: Column) -> Column:

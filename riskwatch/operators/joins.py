@@ -7,10 +7,6 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Most keys a filtering broadcast may hold: some tens of megabytes per executor.
-BROADCAST_KEYS = 500_000
-
-
 def star_merge(base: DataFrame, features: Iterable[DataFrame], on: str) -> DataFrame:
     """Left-joins features of one key onto the base.
 
@@ -52,8 +48,9 @@ def attach_one_row(rows: DataFrame, single: DataFrame, on: str) -> DataFrame:
 
 
 def rows_of(facts: DataFrame, keys: DataFrame, on: str) -> DataFrame:
-    """Facts of the given keys, filtered while they are scanned.
+    """Facts of the given keys.
 
-    ``keys`` was counted by the caller and has at most ``BROADCAST_KEYS`` rows.
+    No side is forced to broadcast: from a staged table of keys Spark knows
+    whether it is small enough to filter the scan with.
     """
-    return facts.join(F.broadcast(keys), on, "left_semi")
+    return facts.join(keys, on, "left_semi")

@@ -2,29 +2,20 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
-# Scratch folders of local sessions; removed when the interpreter ends.
-_local_folders: dict[str, tempfile.TemporaryDirectory] = {}
+# Folders written by this interpreter's sessions, by application.
+_staged: dict[str, list[str]] = {}
 
 
-def _shared_folder(spark: SparkSession) -> str | None:
-    """The folder the cluster names; a scratch one of our own in local mode."""
-    configured = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getCheckpointDir()
-    if configured:
-        return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        return None
-    application = spark.sparkContext.applicationId
-    if application not in _local_folders:
-        _local_folders[application] = tempfile.TemporaryDirectory(prefix="riskwatch-", ignore_cleanup_errors=True)
-    return _local_folders[application].name
+def shared_folder(spark: SparkSession) -> str | None:
+    """The folder the session names for data that all executors share."""
+    named = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getCheckpointDir()
+    return named.rstrip("/") if named else None
 
 
 def stage(df: DataFrame) -> DataFrame:
@@ -33,21 +24,25 @@ def stage(df: DataFrame) -> DataFrame:
     Branches that need different columns of an aggregate would otherwise each
     prune their own copy of it and scan its input again. The table is in shared
     storage, so a lost executor costs a re-read; its size is known, so Spark
-    broadcasts it in joins exactly when it is small. On a cluster that names no
-    folder the plan is left as it is: same rows, more scans.
+    broadcasts it in joins exactly when it is small. Where the session names no
+    folder the plan stays lazy as it is, on a cluster and locally: same rows,
+    more scans. ``drop_staged`` removes the tables again.
     """
-    return stage_counted(df)[0]
-
-
-def stage_counted(df: DataFrame) -> tuple[DataFrame, int | None]:
-    """As ``stage``, with the rows counted while they are written.
-
-    The count is None where nothing was staged.
-    """
-    folder = _shared_folder(df.sparkSession)
+    spark = df.sparkSession
+    folder = shared_folder(spark)
     if folder is None:
-        return df, None
+        return df
     path = f"{folder}/staged-{uuid.uuid4().hex}"
-    written = Observation()
-    df.observe(written, F.count(F.lit(1)).alias("rows")).write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path), written.get["rows"]
+    df.write.parquet(path)
+    _staged.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_staged(spark: SparkSession) -> int:
+    """Removes the tables this session staged; call it when results are written."""
+    paths = _staged.pop(spark.sparkContext.applicationId, [])
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    for name in paths:
+        path = jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(conf).delete(path, True)
+    return len(paths)

@@ -13,7 +13,7 @@ from riskwatch.operators.joins import attach_one_row, spread_lookup
 from riskwatch.operators.metrics import Metric, any_window, pivot_fields, titled
 from riskwatch.operators.rows import latest, with_previous
 from riskwatch.operators.rules import managed_label, reference_rate
-from riskwatch.operators.staging import stage, stage_counted
+from riskwatch.operators.staging import stage
 from riskwatch.sources.result_log import log_field, read_results
 from riskwatch.sources.tables import Sources
 
@@ -273,8 +273,17 @@ def payment_rates(metrics: DataFrame) -> DataFrame:
 
 
 def paid_last_year(sources: Sources, as_of: date) -> DataFrame:
-    """Paid amount of the year per creditor; creditors without any keep a 0."""
-    return sources.table("payment").groupBy("creditor_id").agg(PAID_LAST_YEAR.column(as_of))
+    """Paid amount of the year per creditor; creditors without any keep a 0.
+
+    The sum reads the year's charge dates only. That an older creditor exists is
+    looked up in one column of the history.
+    """
+    payments, name = sources.table("payment"), PAID_LAST_YEAR.name
+    year = payments.where(PAID_LAST_YEAR.matches(as_of)).select(
+        "creditor_id", s.money(F.col(PAID_LAST_YEAR.amount)).alias(name)
+    )
+    ever = payments.select("creditor_id", s.money(F.lit(0)).alias(name))
+    return year.unionByName(ever).groupBy("creditor_id").agg(F.sum(name).alias(name))
 
 
 # --- Peers ------------------------------------------------------------------
@@ -311,16 +320,15 @@ def with_idle_categories(active: DataFrame, sources: Sources) -> DataFrame:
     """Adds categories whose payments are all older than the year, as zeros.
 
     Only creditors of categories not seen yet are looked up in the payments'
-    history, in one column of it, and mostly there are none. They are staged:
-    known to be few they are broadcast, and payments are not shuffled.
+    history, in one column of it. The history is reduced to its creditors before
+    it is joined, so a creditor with a third of the payments is one row per task.
     """
     code = "merchant_category_code"
     seen = active.select(F.col(code).alias("_seen"))
     members = _category_members(sources)
-    unseen, count = stage_counted(members.join(seen, F.col(code).eqNullSafe(F.col("_seen")), "left_anti"))
-    if count == 0:
-        return active
-    idle = sources.table("payment").select("creditor_id").join(unseen, "creditor_id").select(code).distinct()
+    unseen = stage(members.join(seen, F.col(code).eqNullSafe(F.col("_seen")), "left_anti"))
+    paid = sources.table("payment").select("creditor_id").distinct()
+    idle = unseen.join(paid, "creditor_id", "left_semi").select(code).distinct()
     blank = {
         field.name: F.lit(None if "rate" in field.name else 0).cast(field.dataType)
         for field in active.schema.fields
@@ -423,7 +431,7 @@ def ticket_review_dates(sources: Sources) -> DataFrame:
         },
     ).where(F.col("next_review_date").isNotNull())
     owners = sources.table("ticket_org").select(
-        F.col("id").alias("organization_id"), F.col("gc_organization_id")
+        F.col("id").alias("organization_id"), F.col("organisation_key")
     )
     tickets = (
         sources.table("ticket")
@@ -437,7 +445,7 @@ def ticket_review_dates(sources: Sources) -> DataFrame:
         .agg(
             F.max("next_review_date").alias("next_review_date"),
             F.max("reason_for_next_review").alias("reason_for_next_review"),
-            F.max("gc_organization_id").alias("organisation_id"),
+            F.max("organisation_key").alias("organisation_id"),
         )
     )
 
@@ -451,8 +459,18 @@ def sanctioned_exposure(sources: Sources, group_name: str = c.CREDIT_GROUP) -> D
     text of other groups' tickets.
     """
     title, value = "ticket_field_title", F.col("ticket_field_value")
+    groups = sources.table("ticket_group").where(F.col("name") == group_name).select(
+        F.col("id").alias("group_id")
+    )
+    of_group = (
+        sources.table("ticket")
+        .select(F.col("id").alias("ticket_id"), s.day(F.col("created_at")).alias("created_at"),
+                "organization_id", "group_id")
+        .join(groups, "group_id", "left_semi")
+    )
+    # Fields of other groups' tickets go before the pivot.
     fields = pivot_fields(
-        sources.table("ticket_field"),
+        sources.table("ticket_field").join(of_group.select("ticket_id"), "ticket_id", "left_semi"),
         "ticket_id",
         title,
         {
@@ -460,21 +478,14 @@ def sanctioned_exposure(sources: Sources, group_name: str = c.CREDIT_GROUP) -> D
             c.FIELD_SANCTIONED_DATE: F.min(titled(title, c.FIELD_SANCTIONED_DATE, value)).alias("dated"),
         },
     )
-    groups = sources.table("ticket_group").where(F.col("name") == group_name).select(
-        F.col("id").alias("group_id")
-    )
     owners = sources.table("ticket_org").select(
-        F.col("id").alias("organization_id"), F.col("gc_organization_id").alias("organisation_id")
+        F.col("id").alias("organization_id"), F.col("organisation_key").alias("organisation_id")
     )
     merchants = sources.table("organisation").where(F.col("creditor_id").isNotNull()).select(
         "organisation_id", "creditor_id"
     )
     tickets = (
-        sources.table("ticket")
-        .select(F.col("id").alias("ticket_id"), s.day(F.col("created_at")).alias("created_at"),
-                "organization_id", "group_id")
-        .join(groups, "group_id")
-        .join(fields, "ticket_id")
+        of_group.join(fields, "ticket_id")
         .join(owners, "organization_id")
         .join(merchants, "organisation_id")
     )
@@ -494,9 +505,11 @@ def sanctioned_exposure(sources: Sources, group_name: str = c.CREDIT_GROUP) -> D
 # --- Onboarding -------------------------------------------------------------
 
 
-def latest_opportunity(sources: Sources) -> DataFrame:
-    """Newest sales opportunity per account."""
+def latest_opportunity(sources: Sources, accounts: DataFrame | None = None) -> DataFrame:
+    """Newest sales opportunity per account, of the given accounts if there are."""
     rows = sources.table("opportunity").select("account_id", "opportunity_id", "opportunity_created_date")
+    if accounts is not None:
+        rows = rows.join(accounts, "account_id", "left_semi")
     return latest(rows, ["account_id"], ["opportunity_created_date", "opportunity_id"])
 
 
@@ -528,10 +541,11 @@ def onboarding_amounts(sources: Sources, as_of: date, params: c.OnboardingParams
     joined = fresh.join(facts, "organisation_id", "left")
     amount = F.col("amount")
     if not params.dedupe_creditors:
-        sizes = sources.table("creditor").groupBy("organisation_id").agg(F.count(F.lit(1)).alias("creditors"))
+        creditors = sources.table("creditor").join(fresh.select("organisation_id"), "organisation_id", "left_semi")
+        sizes = creditors.groupBy("organisation_id").agg(F.count(F.lit(1)).alias("creditors"))
         joined = joined.join(sizes, "organisation_id", "left")
         amount = amount * F.coalesce(F.col("creditors"), F.lit(1)).cast("decimal(10,0)")
-    opportunities = latest_opportunity(sources).select(
+    opportunities = latest_opportunity(sources, fresh.select("account_id")).select(
         "account_id", F.col("opportunity_id").alias("salesforce_opportunity_id")
     )
     return (

@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 
 from riskwatch import config as c
 from riskwatch.functions.scalars import day, negative_part, strict_double
-from riskwatch.operators.joins import BROADCAST_KEYS, star_merge
-from riskwatch.operators.staging import stage_counted
+from riskwatch.operators.joins import star_merge
+from riskwatch.operators.staging import shared_folder, stage
 from riskwatch.plans import features as f
 from riskwatch.sources.tables import Sources
 
@@ -47,15 +47,16 @@ def label_day() -> Column:
 def _decided(base: DataFrame, keep: Column | None, sources: Sources) -> tuple[DataFrame, Sources]:
     """The kept rows, and sources reduced to their creditors.
 
-    The rows are counted once they are staged: up to ``BROADCAST_KEYS`` their
-    ids filter the fact scans, beyond that the facts are used as they are. The
-    later left joins give the same rows either way.
+    Staged rows are a table of known size, and the facts are semi-joined with
+    their ids as Spark sees fit. A plan that stays lazy would have to compute the
+    rows again for each fact table, so there the facts are used as they are; the
+    later left joins give the same rows.
     """
     if keep is None:
         return base, sources
-    kept, count = stage_counted(base.where(keep))
-    few = count is not None and count <= BROADCAST_KEYS
-    return kept, sources.of_creditors(kept) if few else sources
+    kept = stage(base.where(keep))
+    staged = shared_folder(kept.sparkSession) is not None
+    return kept, sources.of_creditors(kept) if staged else sources
 
 
 def score_drop(
@@ -200,10 +201,13 @@ def sanctioned(
     amount = "Sanctioned_Credit_Risk_Exposure"
     tickets = f.sanctioned_exposure(sources, group_name).drop("rowno")
     tickets = tickets.withColumn(amount, strict_double(F.col(amount)))
-    base = star_merge(
-        f.creditor_details(sources, creditor_ids=creditor_ids), [tickets, rounded_exposure(sources)], "creditor_id"
-    )
-    base, reduced = _decided(base, keep, sources)
+    details = f.creditor_details(sources, creditor_ids=creditor_ids)
+    # Only merchants with a sanctioned ticket can be kept: they come first, and
+    # exposures are looked up for them alone.
+    ticketed = None if keep is None else F.col(amount).isNotNull()
+    base, reduced = _decided(star_merge(details, [tickets], "creditor_id"), ticketed, sources)
+    base = star_merge(base, [rounded_exposure(reduced)], "creditor_id")
+    base = base if keep is None else base.where(keep)
     return _standard(base, reduced, as_of).select(
         *_standard_columns(with_last_payment=True), "prev_ticket_id", "created_at", "Sanctioned_Date", amount
     )

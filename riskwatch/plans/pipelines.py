@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, timedelta
 from typing import Any
 
 from pyspark.sql import DataFrame
@@ -96,7 +96,8 @@ def sanctioned_exposure(
 
 def re_review(sources: Sources, as_of: date, params=c.ReReviewParams(), settings=DEFAULT_SETTINGS) -> DataFrame:
     """Merchants whose ticketed next review date has come up."""
-    due = F.col("next_review_date").isin(*params.review_dates)
+    dates = params.review_dates or (as_of, as_of + timedelta(days=1))
+    due = F.col("next_review_date").isin(*dates)
     rows = merge.re_review(sources, as_of, params.creditor_ids, keep=due)
     ticket = p.create_ticket(
         settings, p.re_review_body(settings), p.subject("Re-Review"), params.category_tag
@@ -173,7 +174,12 @@ def run(
     params: Any = None,
     settings: c.TicketSettings = DEFAULT_SETTINGS,
 ) -> DataFrame:
-    """The lazy result of the named process for a run date."""
+    """The result of the named process for a run date.
+
+    The table is lazy. Where the session names a shared folder, building it runs
+    and writes the staged parts of the process first; remove them with
+    ``drop_staged`` once the result is written.
+    """
     pipeline = PIPELINES[name]
     extra = {} if params is None else {"params": params}
     return pipeline(sources, as_of, settings=settings, **extra)

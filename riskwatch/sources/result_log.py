@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -51,6 +51,11 @@ def as_log_rows(
     )
 
 
-def write_results(result: DataFrame, path: str, mode: str = "append") -> None:
-    """Append emitted rows as parquet, one directory per process."""
-    result.write.mode(mode).partitionBy("process_name").parquet(path)
+def write_results(result: DataFrame, path: str, run_date: date) -> None:
+    """Emitted rows as parquet, one directory per run date and process.
+
+    A run that is repeated replaces its own directories and no others.
+    """
+    dated = result.withColumn("run_date", F.lit(run_date))
+    writer = dated.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("run_date", "process_name").parquet(path)

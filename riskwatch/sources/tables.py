@@ -41,7 +41,7 @@ COLUMNS: dict[str, tuple[str, ...]] = {
     "ticket": ("id", "created_at", "subject", "organization_id", "group_id"),
     "ticket_field": ("ticket_id", "ticket_field_title", "ticket_field_value"),
     "ticket_group": ("id", "name"),
-    "ticket_org": ("id", "gc_organization_id"),
+    "ticket_org": ("id", "organisation_key"),
     "result_log": ("values", "runtime", "logtype", "process_name"),
 }
 

@@ -193,7 +193,7 @@ def test_review_dates_need_a_readable_date(spark):
     fields = [field(1, c.FIELD_NEXT_REVIEW, "2024-11-07"), field(1, c.FIELD_REVIEW_REASON, "volume"),
               field(2, c.FIELD_NEXT_REVIEW, "next week"), field(3, c.FIELD_REVIEW_REASON, "no date"),
               field(1, "Something else", "x")]
-    owners = [{"id": 1, "gc_organization_id": "O1"}]
+    owners = [{"id": 1, "organisation_key": "O1"}]
     found = by_key(f.ticket_review_dates(
         make_sources(spark, ticket=tickets, ticket_field=fields, ticket_org=owners)), "ticket_id")
     assert set(found) == {1}
@@ -211,7 +211,7 @@ def test_review_ticket_of_an_unknown_organisation_stays(spark):
 def sanctioned(spark, tickets, fields, **more):
     base = {
         "ticket_group": [{"id": 1, "name": "Credit"}, {"id": 2, "name": "Fraud"}],
-        "ticket_org": [{"id": 1, "gc_organization_id": "O1"}],
+        "ticket_org": [{"id": 1, "organisation_key": "O1"}],
         "organisation": [ORGANISATION],
     }
     rows = [{"id": i, "created_at": days(-i), "organization_id": 1, "group_id": g} for i, g in tickets.items()]

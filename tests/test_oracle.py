@@ -7,6 +7,7 @@ import pytest
 from checks import catalog
 from checks.compare import differences, oracle
 
+LARGER_DIR = "/root/testdata/sf0.01"
 SF_DIR = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no driver tables")
@@ -25,4 +26,7 @@ def test_every_query_has_an_oracle():
 @pytest.mark.parametrize("key", list(catalog.QUERIES))
 def test_same_rows(spark, connection, key):
     found = differences(spark, connection, key, SF_DIR)
-    assert found in ([], ["no rows"]), "\n".join(found)
+    if found == ["no rows"]:
+        # Nothing on the small tables proves nothing: use the larger ones.
+        found = differences(spark, oracle(LARGER_DIR), key, LARGER_DIR)
+    assert found == [], "\n".join(found)

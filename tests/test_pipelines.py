@@ -108,9 +108,11 @@ def test_results_come_back_through_the_log(spark):
 
 def test_written_results_can_be_read_by_process(spark, tmp_path):
     rows = run(c.PROCESS_CHARGEBACK, chargeback_sources(spark), AS_OF)
-    write_results(rows, str(tmp_path / "out"))
+    for run_date in (AS_OF, date(2024, 11, 8), AS_OF):
+        write_results(rows, str(tmp_path / "out"), run_date)
     back = spark.read.parquet(str(tmp_path / "out")).where(f"process_name = '{c.PROCESS_CHARGEBACK}'")
-    assert back.count() == 1
+    # A repeated run replaces its own rows only.
+    assert sorted(r["run_date"] for r in back.collect()) == [AS_OF, date(2024, 11, 8)]
 
 
 def test_negative_balance(spark):
@@ -144,7 +146,7 @@ def test_sanctioned_exposure(spark):
     tables = make_sources(
         spark, creditor=[MERCHANT], organisation=[ORGANISATION], exposure=LARGE,
         ticket=[{"id": 1, "created_at": days(-9), "organization_id": 1, "group_id": 1}],
-        ticket_group=[{"id": 1, "name": "Credit"}], ticket_org=[{"id": 1, "gc_organization_id": "O1"}],
+        ticket_group=[{"id": 1, "name": "Credit"}], ticket_org=[{"id": 1, "organisation_key": "O1"}],
         ticket_field=[{"ticket_id": 1, "ticket_field_title": c.FIELD_SANCTIONED_AMOUNT, "ticket_field_value": "400000"}])
     row = by_key(run(c.PROCESS_SANCTIONED, tables, AS_OF))["C1"]
     made = ticket(row)
@@ -160,7 +162,7 @@ def test_re_review_multiplies_tickets_and_creditors(spark):
     dates = {1: "2024-11-07", 2: "2024-11-08", 3: "2024-11-09"}
     tables = make_sources(
         spark, creditor=[MERCHANT, {**MERCHANT, "id": "C2"}], organisation=[ORGANISATION], ticket=tickets,
-        ticket_org=[{"id": 1, "gc_organization_id": "O1"}],
+        ticket_org=[{"id": 1, "organisation_key": "O1"}],
         ticket_field=[{"ticket_id": i, "ticket_field_title": c.FIELD_NEXT_REVIEW, "ticket_field_value": d}
                       for i, d in dates.items()])
     rows = run(c.PROCESS_RE_REVIEW, tables, AS_OF).collect()
@@ -186,7 +188,9 @@ def test_insolvency(spark):
     assert made["comment"]["body"].startswith('Creditor ID: C1\nOrganisation ID: O1\nMerchant name: Shop "é"\n2\nGeo: GB')
     assert made["comment"]["body"].endswith("Payments last 12m: 10\nFDS Exposure: 100000")
     assert ticket(rows["C2"])["comment"]["body"] is None
-    assert [r["creditor_id"] for r in run(c.PROCESS_INSOLVENCY, tables, AS_OF).collect()] == ["C1"]
+    assert set(by_key(run(c.PROCESS_INSOLVENCY, tables, AS_OF))) == {"C1", "C2"}
+    dry = run(c.PROCESS_INSOLVENCY, tables, AS_OF, c.InsolvencyParams(limit=1))
+    assert [r["creditor_id"] for r in dry.collect()] == ["C1"]
 
 
 def test_onboarding_has_plain_columns(spark):
@@ -198,7 +202,9 @@ def test_onboarding_has_plain_columns(spark):
 
 
 def test_ticket_update(spark):
-    rows = run(c.PROCESS_TICKET_UPDATE, make_sources(spark, exposure=LARGE * 3), AS_OF).collect()
+    tables = make_sources(spark, exposure=LARGE * 3)
+    assert run(c.PROCESS_TICKET_UPDATE, tables, AS_OF).count() == 3 * len(LARGE)
+    rows = run(c.PROCESS_TICKET_UPDATE, tables, AS_OF, c.TicketUpdateParams(limit=1)).collect()
     assert len(rows) == 1 and rows[0]["ticket_id"] == 3417983
     made = json.loads(rows[0][c.UPDATE_TICKET])["ticket"]
     assert list(made) == ["ticket_form_id", "custom_fields", "comment"]
