@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from riskwatch.llm.common import ship
 
 BASE = ("assign", "access", "hex")
-NOVEL = 0.62
+NOVEL = 0.84
 AROUND = 200
 SHORTEST = 16
 
