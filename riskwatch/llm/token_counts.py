@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from riskwatch.llm.common import ship
-from riskwatch.llm.unigram import Vocabulary, load, marked, marked_words
+from riskwatch.llm.unigram import MARK, Vocabulary, load, marked, marked_words
 
 MODEL = "piece_bpe_32k.model"
 WORDS_KEPT = 700_000
@@ -78,7 +78,8 @@ _counts: dict[str, dict[str, int]] = {}
 def _learn(path: str, counts: dict[str, int], keys: set[str]) -> None:
     automaton, vocabulary = _automaton(path), load(path)
     known = vocabulary.characters
-    plain = [k for k in keys if known.issuperset(k)]
+    # A word of marks alone would run into the next one.
+    plain = [k for k in keys if known.issuperset(k) and k[-1] != MARK]
     at = count_known(automaton, "".join(map(marked, plain)))
     place = 0
     for key in plain:

@@ -10,7 +10,7 @@ import public_tokenizers
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from tokenizers import Tokenizer, models, pre_tokenizers
+from tokenizers import Tokenizer, models, normalizers
 
 from riskwatch.llm import html_text, pieces, pii, secrets, token_counts, token_output, unigram
 
@@ -93,7 +93,7 @@ def library():
     scores = {k: s for k, s in model.pieces.values()}
     vocabulary = [(t, scores.get(k, 0.0)) for k, t in enumerate(model.texts)]
     found = Tokenizer(models.Unigram(vocabulary, unk_id=0, byte_fallback=True))
-    found.pre_tokenizer = pre_tokenizers.Metaspace(prepend_scheme="always", split=False)
+    found.normalizer = normalizers.Sequence([normalizers.Prepend("▁"), normalizers.Replace(" ", "▁")])
     return found
 
 
