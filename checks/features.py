@@ -270,6 +270,17 @@ def pip3(spark, sf):
     return pipelines.negative_balance(sources(spark, sf), AS_OF)
 
 
+@check("pip3_thresholds", x.query(f"""
+    FROM ({PIP3}) WHERE nb_alert_type <> 'No Alert' AND nb_balance_current <= -500 AND NOT insolvency_flag
+      AND last_payment_days_ago <= 4000""",
+    STANDARD_DATES + " neg_bal_monitoring_date_last", STANDARD_AMOUNTS))
+def pip3_thresholds(spark, sf):
+    """With every optional filter on."""
+    params = c.NegativeBalanceParams(
+        max_balance=-500, exclude_insolvent=True, only_alerts=True, max_last_payment_days=4000)
+    return pipelines.negative_balance(sources(spark, sf), AS_OF, params)
+
+
 PIP4 = f"""
     SELECT *, 'credit_sanctioned_exposure' AS process_name,
            {x.create_ticket(x.SANCTIONED_BODY, x.subject('Negative Balance'), 'credit__monitoring_nb')}
@@ -318,12 +329,27 @@ def pip7(spark, sf):
            {UPDATE} AS ActionField_ZendeskUpdateTicket
     FROM exposure""", "", "fds_exposure_current"))
 def pip8(spark, sf):
-    return pipelines.ticket_update(sources(spark, sf), AS_OF, c.TicketUpdateParams(limit=None))
+    return pipelines.ticket_update(sources(spark, sf), AS_OF, c.TicketUpdateParams())
+
+
+PINNED = tuple(f"CR{4 * group}" for group in range(1, 40))
 
 
 @check("pip9", x.query(f"""
     SELECT * EXCLUDE (managed_label, is_cs_managed, csm_owner_name), 'test_nov21' AS process_name,
            {SHORT} AS ActionField_ZendeskCreateTicket
-    FROM joined""", DETAIL_DATES))
+    FROM joined WHERE EXISTS (FROM organisation pin WHERE pin.organisation_id = joined.organisation_id
+        AND pin.creditor_id IN ({", ".join(f"'{i}'" for i in PINNED)}))""", DETAIL_DATES))
 def pip9(spark, sf):
-    return pipelines.single_ticket(sources(spark, sf), AS_OF)
+    """Pinned to the organisation's creditor."""
+    return pipelines.single_ticket(sources(spark, sf), AS_OF, c.SingleTicketParams(creditor_ids=PINNED))
+
+
+@check("pip8_limit", x.query(f"""
+    SELECT creditor_id, amount_gbp AS fds_exposure_current,
+           CAST({SETTINGS.update_ticket_id} AS BIGINT) AS ticket_id, 'Test_Oct15' AS process_name,
+           {UPDATE} AS ActionField_ZendeskUpdateTicket
+    FROM exposure ORDER BY creditor_id, amount_gbp LIMIT 1""", "", "fds_exposure_current"))
+def pip8_limit(spark, sf):
+    """The dry-run limit."""
+    return pipelines.ticket_update(sources(spark, sf), AS_OF, c.TicketUpdateParams(limit=1))

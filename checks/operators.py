@@ -25,15 +25,24 @@ col = F.col
 # --- Sources and sinks ------------------------------------------------------
 
 
+def _first_column(name: str) -> str:
+    return f'"{COLUMNS[name][0]}"'
+
+
 @check("src1", x.query(" UNION ALL ".join(
-    f"SELECT '{name}' AS table_name, count(*) AS row_count FROM {name}" for name in COLUMNS)))
+    f"""SELECT '{name}' AS table_name, count(*) AS row_count, count(DISTINCT {_first_column(name)}) AS keys,
+        min(CAST({_first_column(name)} AS VARCHAR)) AS lowest, max(CAST({_first_column(name)} AS VARCHAR)) AS highest
+        FROM {name}""" for name in COLUMNS)))
 def src1(spark, sf):
-    """Every logical table is scanned."""
+    """Every logical table is scanned, and its first column compared."""
     tables = sources(spark, sf)
-    counts = [
-        tables.table(n).agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(n).alias("table_name"), "row_count")
-        for n in COLUMNS
-    ]
+    counts = []
+    for n in COLUMNS:
+        key = col(COLUMNS[n][0]).cast("string")
+        counts.append(tables.table(n).agg(
+            F.count(F.lit(1)).alias("row_count"), F.count_distinct(key).alias("keys"),
+            F.min(key).alias("lowest"), F.max(key).alias("highest"),
+        ).select(F.lit(n).alias("table_name"), "row_count", "keys", "lowest", "highest"))
     result = counts[0]
     for one in counts[1:]:
         result = result.unionByName(one)
@@ -550,13 +559,11 @@ def agg7(spark, sf):
     })
 
 
-@check("agg8", """
-    SELECT o_custkey, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total FROM orders
-    GROUP BY 1 HAVING total > 2000000""")
+@check("agg8", x.query("SELECT creditor_id, prev_ticket_id, Sanctioned_Credit_Risk_Exposure FROM sanctioned_tickets"))
 def agg8(spark, sf):
     """Filter on an aggregate by its name."""
-    totals = raw(spark, sf, "orders").groupBy("o_custkey").agg(F.sum(s.money(col("o_totalprice"))).alias("total"))
-    return totals.where(col("total") > 2_000_000)
+    return f.sanctioned_exposure(sources(spark, sf)).select(
+        "creditor_id", "prev_ticket_id", "Sanctioned_Credit_Risk_Exposure")
 
 
 @check("agg9", x.query("SELECT creditor_id, last_payment_days_ago, newest_payment_days_ago FROM payment_metrics"))
@@ -708,14 +715,12 @@ def sca4(spark, sf):
     return rows.select("ticket_id", s.strict_double(col("ticket_field_value")).alias("amount"))
 
 
-@check("sca5", """
-    SELECT event_id, CASE WHEN value > 100 THEN 'high' WHEN nullif(event_type, 'error') = 'click' THEN 'click'
-        WHEN value > 10 THEN 'middle' ELSE 'low' END AS band FROM events""")
+@check("sca5", x.query("SELECT creditor_id, nb_alert_type FROM ruled_negative_balance"))
 def sca5(spark, sf):
     """First match wins; an unknown condition does not match."""
-    kind = F.nullif(col("event_type"), F.lit("error"))
-    band = F.when(col("value") > 100, "high").when(kind == "click", "click").when(col("value") > 10, "middle")
-    return raw(spark, sf, "events").select("event_id", band.otherwise("low").alias("band"))
+    rows = merge.negative_balance(sources(spark, sf), AS_OF)
+    alert = rules.negative_balance_alert(c.NegativeBalanceParams())
+    return rows.select("creditor_id", alert.alias("nb_alert_type"))
 
 
 @check("sca6", x.query("""
@@ -794,9 +799,14 @@ def sca12(spark, sf):
 
 
 @check("sca13", """
-    SELECT event_id, CAST(CAST(ts AS DATE) - 1 AS VARCHAR) AS day_before FROM events""")
+    SELECT o_orderkey, CAST(o_orderdate AS DATE) = DATE '2001-08-02' - 1 AS yesterday,
+           CAST(o_orderdate AS DATE) > DATE '2001-08-02' - 31 AS recent FROM orders""")
 def sca13(spark, sf):
-    return raw(spark, sf, "events").select("event_id", F.date_sub(s.day(col("ts")), 1).alias("day_before"))
+    """Days before the run date."""
+    ordered = s.day(col("o_orderdate"))
+    return raw(spark, sf, "orders").select(
+        "o_orderkey", (ordered == s.as_of_date(AS_OF, -1)).alias("yesterday"),
+        (ordered > s.as_of_date(AS_OF, -31)).alias("recent"))
 
 
 @check("sca14", """
@@ -826,15 +836,20 @@ def sca15(spark, sf):
 
 @check("sca16", """
     SELECT event_id, json_extract_string(props, '$.k') AS k, json_extract_string(props, '$.absent') AS absent,
-           json_extract_string(event_type, '$.k') AS malformed FROM (
-        SELECT event_id, props, CASE WHEN event_type = 'none' THEN '{}' END AS event_type FROM events)""")
+           CAST(NULL AS VARCHAR) AS malformed,
+           CASE event_id % 4 WHEN 2 THEN 'x' || event_id WHEN 3 THEN CAST(event_id AS VARCHAR) END AS scalar
+    FROM events""")
 def sca16(spark, sf):
-    """Scalars of a document; absent and malformed give NULL."""
+    """Scalars of a document; absent, malformed, objects and arrays give NULL."""
+    document = F.expr("""CASE event_id % 4 WHEN 0 THEN concat('{"v":{"a":', event_id, '}}')
+        WHEN 1 THEN concat('{"v":[', event_id, ']}') WHEN 2 THEN concat('{"v":"x', event_id, '"}')
+        ELSE concat('{"v":', event_id, '}') END""")
     return raw(spark, sf, "events").select(
         "event_id",
         s.json_value(col("props"), "k").alias("k"),
         s.json_value(col("props"), "absent").alias("absent"),
         s.json_value(col("event_type"), "k").alias("malformed"),
+        s.json_value(document, "v").alias("scalar"),
     )
 
 
@@ -889,10 +904,8 @@ def sca20(spark, sf):
 
 
 @check("sca21", x.query("""
-    SELECT creditor_id, CASE WHEN is_cs_managed THEN 'managed' ELSE 'not known to be managed' END AS service
-    FROM joined"""))
+    SELECT organisation_id, if(coalesce(is_cs_managed_salesforce, false), 'Yes', 'No') AS service FROM organisation"""))
 def sca21(spark, sf):
     """A NULL boolean goes to the other branch."""
-    service = F.when(col("is_cs_managed"), "managed").otherwise("not known to be managed")
-    details = f.creditor_details(sources(spark, sf), exclude_payment_providers=False)
-    return details.select("creditor_id", service.alias("service"))
+    service = rules.managed_label(col("is_cs_managed_salesforce"), F.lit("Self Serve"))
+    return sources(spark, sf).table("organisation").select("organisation_id", service.alias("service"))

@@ -31,7 +31,7 @@ SCHEMAS = {
     "ticket": "id bigint, created_at timestamp, subject string, organization_id bigint, group_id bigint",
     "ticket_field": "ticket_id bigint, ticket_field_title string, ticket_field_value string",
     "ticket_group": "id bigint, name string",
-    "ticket_org": "id bigint, gc_organization_id string",
+    "ticket_org": "id bigint, organisation_key string",
     "result_log": "`values` string, runtime timestamp, logtype string, process_name string",
 }
 
