@@ -21,7 +21,9 @@ Defined results: a null or empty text has the end id only. Rows without
 
 from __future__ import annotations
 
+import os
 import re
+import struct
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -40,9 +42,8 @@ from riskwatch.llm.common import new_path, ship, stage
 
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 0
-WORDS_KEPT = 500_000
-DOCS = 1000
-JOINED = 2000
+WORDS_KEPT = 600_000
+DOCS = 200
 NO_ID = -(2**63)
 
 # White space other than the space and the line feed.
@@ -54,55 +55,99 @@ _OTHER_SPACE = re.compile(f"[{''.join(map(chr, _SPACES))}]")
 _MANIFEST = "shard int, file string, n_docs long, n_tokens long"
 
 
+# Marks that may end a word; with nothing else behind a word's
+# letters they are one unit of the library's first split, and so are the letters.
+_MARKS = ".,;:!?*%&$#-)(\"'"
+
+
+def _byte_letters() -> dict[int, int]:
+    """The byte-level alphabet: visible bytes stand for themselves, the others
+    for the characters from 256 on, in order."""
+    visible = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in set(visible)]
+    return {b: 256 + k for k, b in enumerate(hidden)}
+
+
 class WordEncoder:
-    """A tokenizer with a memory of words, bounded in size."""
+    """A tokenizer with a memory of words, bounded in size.
+
+    A new word's letters and its marks go to the library's model directly; what
+    is not built that way is encoded by the whole tokenizer.
+    """
 
     def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task per core
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        if self.tokenizer.normalizer is not None:
+            raise ValueError("a normalizer would need the whole text")
+        self.model = self.tokenizer.model
+        self.letters = _byte_letters()
+        self.space = chr(self.letters[32])
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.newline = self.tokenizer.encode("\n", add_special_tokens=False).ids[0]
+        #: Packers of short lists of ids.
+        self.pack = [struct.Struct(f"<{n}{'H' if self.dtype.itemsize == 2 else 'I'}").pack for n in range(33)]
+        self.newline = self._whole("\n")
         self.known: dict[str, bytes] = {}
-
-    def _ids(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        self.marks: dict[str, bytes] = {"": b""}
 
     def _bytes(self, ids: list[int]) -> bytes:
         return np.array(ids, self.dtype).tobytes()
 
-    def _learn(self, keys: set[str]) -> None:
-        """Words without a line feed are encoded many at a time, one a line."""
-        plain = [k for k in keys if "\n" not in k]
-        groups = [plain[k : k + JOINED] for k in range(0, len(plain), JOINED)]
-        for group, ids in zip(groups, self._ids(["\n".join(map(_word, g)) for g in groups]), strict=True):
-            flat = np.array(ids, self.dtype)
-            cuts = np.flatnonzero(flat == self.newline)
-            ends = [*cuts.tolist(), len(flat)]
-            start = 0
-            if len(ends) != len(group):
-                raise ValueError("a word was not encoded by itself")
-            for key, end in zip(group, ends, strict=True):
-                self.known[key] = flat[start:end].tobytes()
-                start = end + 1
-        others = [k for k in keys if "\n" in k]
-        for key, ids in zip(others, self._ids([_word(k) for k in others]), strict=True):
-            self.known[key] = self._bytes(ids)
+    def _whole(self, text: str) -> bytes:
+        return self._bytes(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids)
+
+    def _unit(self, lead: str, text: str) -> bytes:
+        """A unit of the first split: letters behind a space or none, or marks."""
+        if not text.isascii():
+            text = text.encode().decode("latin-1").translate(self.letters)
+        ids = [token.id for token in self.model.tokenize(lead + text)]
+        return self.pack[len(ids)](*ids) if len(ids) < len(self.pack) else self._bytes(ids)
+
+    def _word(self, key: str) -> bytes:
+        """A key stands for the word behind a space; a text's first is marked by one."""
+        known = self.known
+        text, lead = (key[1:], "") if key[0] == " " else (key, self.space)
+        head = text.rstrip(_MARKS)
+        if head.isalpha():
+            if len(head) == len(text):
+                ids = self._unit(lead, head)
+            else:
+                # The bare word is likely to come with other marks.
+                tail = text[len(head) :]
+                bare = key[: -len(tail)]
+                ids = known.get(bare)
+                if ids is None:
+                    ids = known[bare] = self._unit(lead, head)
+                marks = self.marks.get(tail)
+                if marks is None:
+                    marks = self.marks[tail] = self._unit("", tail)
+                ids += marks
+        elif "\n" in text.strip("\n") and "\n\n" not in text and text[0] != "\n" and text[-1] != "\n":
+            first, *others = key.split("\n")
+            parts = [first, *[" " + w for w in others]]
+            ids = self.newline.join(known.get(p) or self._word(p) for p in parts)
+        else:
+            ids = self._whole(text if key[0] == " " else " " + text)
+        known[key] = ids
+        return ids
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        cut = [_cut(t) for t in texts]
-        new = set().union(*[c for c in cut if c]).difference(self.known)
-        if len(self.known) + len(new) > WORDS_KEPT:
-            self.known.clear()
-            new = set().union(*[c for c in cut if c])
-        self._learn(new)
-        whole = iter(self._ids([t for t, c in zip(texts, cut, strict=True) if c is None]))
-        known = self.known.__getitem__
-        return [self._bytes(next(whole)) if c is None else b"".join(map(known, c)) for c in cut]
-
-
-def _word(key: str) -> str:
-    """A key stands for the word behind a space; a text's first is marked by one."""
-    return key[1:] if key.startswith(" ") else " " + key
+        if len(self.known) > WORDS_KEPT:
+            # Short words are the frequent ones.
+            self.known = {k: v for k, v in self.known.items() if len(k) <= 8}
+            self.marks = {"": b""}
+        out = []
+        for text in texts:
+            keys = _cut(text)
+            if keys is None:
+                out.append(self._whole(text))
+                continue
+            ids = list(map(self.known.get, keys))
+            if None in ids:
+                ids = [self._word(k) if i is None else i for k, i in zip(keys, ids, strict=True)]
+            out.append(b"".join(ids))
+        return out
 
 
 def _cut(text: str) -> list[str] | None:
