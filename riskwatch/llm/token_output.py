@@ -134,8 +134,9 @@ class WordEncoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if len(self.known) > WORDS_KEPT:
-            # Short words are the frequent ones.
-            self.known = {k: v for k, v in self.known.items() if len(k) <= 8}
+            # Short words are the frequent ones; if they alone fill it, all go.
+            short = {k: v for k, v in self.known.items() if len(k) <= 8}
+            self.known = short if 2 * len(short) < WORDS_KEPT else {}
             self.marks = {"": b""}
         out = []
         for text in texts:
