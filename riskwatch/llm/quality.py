@@ -151,8 +151,13 @@ def quality_rules(docs: DataFrame) -> DataFrame:
 
 
 def passing(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that every rule lets pass, with all their columns."""
-    return _judged(docs, F.struct("*")).where("kept").select("_row.*")
+    """The rows of ``docs`` that every rule lets pass, with all their columns.
+
+    The row number keeps the optimizer from moving the filter below the steps
+    that compute it, which would repeat them once for each use.
+    """
+    numbered = _judged(docs, F.struct("*")).select("_row", "kept", F.monotonically_increasing_id().alias("_number"))
+    return numbered.where(F.col("kept") & (F.col("_number") >= 0)).select("_row.*")
 
 
 def _sql_rule(rule: Rule) -> str:
