@@ -9,7 +9,7 @@ How it scales: texts are read once for the signatures. Documents with the same
 words become one before banding, so a third of all rows being copies costs a
 map-side combine. A bucket is not expanded into pairs: its members are first
 compared with one centre each, and after that only members that are not yet
-known to be in one component. All joins on a bucket or a centre are plain
+known to be in one component, and whose rarest shingles allow a link. All joins on a bucket or a centre are plain
 equi-joins that AQE splits. Only texts of documents that share a bucket are
 moved.
 
@@ -32,7 +32,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskwatch.llm.common import ship, stage
@@ -102,6 +102,16 @@ def _shifted_minima(v: np.ndarray, starts: np.ndarray, count: int) -> np.ndarray
     return out
 
 
+def shingle_hashes(words: list[bytes], size: int) -> np.ndarray:
+    """A 64-bit hash per shingle, in text order, from the words' hashes."""
+    h = np.fromiter(map(_hashes.__getitem__, words), np.uint64, len(words))
+    s = np.zeros(max(1, len(words) - size + 1), np.uint64)
+    for k in range(size):
+        part = h[k : k + len(s)]
+        s[: len(part)] = (s[: len(part)] * np.uint64(0x9E3779B97F4A7C15)) ^ (part + (part << np.uint64(k + 7)))
+    return s
+
+
 def signatures(texts: list[list[bytes]], size: int, count: int) -> np.ndarray:
     """One column of ``count`` minima per word list; none of the lists is empty."""
     out = np.empty((count, len(texts)), np.uint32)
@@ -109,14 +119,8 @@ def signatures(texts: list[list[bytes]], size: int, count: int) -> np.ndarray:
     while at < len(texts):
         end, held, parts = at, 0, []
         while end < len(texts) and (held < BLOCK or end == at):
-            words = texts[end]
-            h = np.fromiter(map(_hashes.__getitem__, words), np.uint64, len(words))
-            s = np.zeros(max(1, len(words) - size + 1), np.uint64)
-            for k in range(size):
-                part = h[k : k + len(s)]
-                s[: len(part)] = (s[: len(part)] * np.uint64(0x9E3779B97F4A7C15)) ^ (part + (part << np.uint64(k + 7)))
-            parts.append(s)
-            held += len(s)
+            parts.append(shingle_hashes(texts[end], size))
+            held += len(parts[-1])
             end += 1
         starts = np.cumsum([0, *map(len, parts[:-1])])
         out[:, at:end] = _shifted_minima(_scramble(np.concatenate(parts)), starts, count)
@@ -163,6 +167,23 @@ def _sign(size: int, bands: int, rows: int):
     return run
 
 
+def _shingle_rows(size: int):
+    """A row per document and different shingle hash."""
+    names = ["doc", "n", "label", "g"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, len(batch), 512):
+                part = batch.slice(at, 512)
+                hashes = [np.unique(shingle_hashes(words_of(t), size)) for t in part.column(3).to_pylist()]
+                if hashes:
+                    each = np.repeat(np.arange(len(part)), [len(h) for h in hashes])
+                    columns = [part.column(k).take(pa.array(each)) for k in range(3)]
+                    yield pa.RecordBatch.from_arrays([*columns, pa.array(np.concatenate(hashes).view(np.int64))], names=names)
+
+    return run
+
+
 def similar(a: set, b: set, percent: int) -> bool:
     both = len(a & b)
     return 100 * both >= percent * (len(a) + len(b) - both)
@@ -211,43 +232,60 @@ class _Matcher:
             .distinct()
         )
 
-    def star(self, labelled: DataFrame, turn: int) -> DataFrame:
-        """Each bucket's members with its centre, where not in one component."""
-        centre = F.min(F.struct(F.xxhash64("doc", F.lit(turn)).alias("h"), "doc", "n", "label"))
-        centres = labelled.groupBy("bucket").agg(centre.alias("c"))
-        centres = centres.select(
-            "bucket", F.col("c.doc").alias("y"), F.col("c.n").alias("n_y"), F.col("c.label").alias("label_y")
-        )
-        joined = labelled.join(centres, "bucket").where(F.col("label") != F.col("label_y"))
+    def star(self) -> DataFrame:
+        """Each bucket's members with its centre.
+
+        The centre is the member that meets most documents over all its buckets:
+        of a group of copies, one near the text they were made from.
+        """
+        met = self.members.groupBy("doc").agg(F.sum("size").alias("met"))
+        members = self.members.join(met, "doc")
+        centre = F.max(F.struct("met", (-F.col("doc")).alias("first"), "doc", "n"))
+        centres = members.groupBy("bucket").agg(centre.alias("c"))
+        centres = centres.select("bucket", F.col("c.doc").alias("y"), F.col("c.n").alias("n_y"))
+        joined = members.join(centres, "bucket").where(F.col("doc") != F.col("y"))
         return self.pairs(joined.select(F.col("doc").alias("x"), F.col("n").alias("n_x"), "y", "n_y"))
 
-    def open_buckets(self, labelled: DataFrame) -> tuple[DataFrame, int, int]:
-        """Members of buckets with several components, how many, and their pairs."""
-        each = labelled.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("k"))
-        total = each.groupBy("bucket").agg(
-            F.sum("k").alias("n_all"), F.sum(F.col("k") * F.col("k")).alias("squares"), F.count(F.lit(1)).alias("labels")
+    def open_members(self, labels: DataFrame) -> DataFrame:
+        """Members of buckets that hold several components, with their labels."""
+        labelled = self.members.join(labels, "doc", "left").select(
+            "bucket", "doc", "n", F.coalesce("component", "doc").alias("label")
         )
-        several = stage(total.where(F.col("labels") > 1), "open")
-        sums = several.agg(
-            F.coalesce(F.sum("n_all"), F.lit(0)),
-            F.coalesce(F.sum((F.col("n_all") * F.col("n_all") - F.col("squares")) / 2), F.lit(0.0)),
-        ).first()
-        return labelled.join(several.select("bucket"), "bucket", "left_semi"), int(sums[0]), int(sums[1])
-
-    def rest(self, labelled: DataFrame) -> DataFrame:
-        """All pairs of a bucket's members in different components."""
-        x = labelled.select("bucket", F.col("doc").alias("x"), F.col("n").alias("n_x"), F.col("label").alias("label_x"))
-        y = labelled.select("bucket", F.col("doc").alias("y"), F.col("n").alias("n_y"), F.col("label").alias("label_y"))
-        joined = x.join(y, "bucket").where((F.col("x") < F.col("y")) & (F.col("label_x") != F.col("label_y")))
-        return self.pairs(joined)
-
-
-def _labelled(members: DataFrame, labels: DataFrame | None) -> DataFrame:
-    if labels is None:
-        return members.withColumn("label", F.col("doc"))
-    return members.join(labels, "doc", "left").select(
-        "bucket", "doc", "n", F.coalesce("component", "doc").alias("label")
-    )
+        each = labelled.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+        several = each.where(F.col("low") != F.col("high")).select("bucket")
+        return labelled.join(several, "bucket", "left_semi")
+
+    def rest(self, open_members: DataFrame) -> DataFrame:
+        """Pairs of different components that can be similar at all.
+
+        Shingles are ordered from the rarest. In similar sets the first common
+        shingle stands so early that enough of both sets is left behind it
+        (prefix and positional filter); this loses no pair. Of each shingle only
+        members outside its largest component are joined with all others.
+        """
+        docs = open_members.select("doc", "n", "label").distinct()
+        rows = docs.join(self.texts, "doc").select("doc", "n", "label", "text")
+        shingles = rows.mapInArrow(_shingle_rows(self.size), "doc long, n long, label long, g long")
+        df = F.count(F.lit(1)).over(Window.partitionBy("g"))
+        common = shingles.withColumn("df", df).where(F.col("df") > 1)
+        of_doc = Window.partitionBy("doc")
+        # Shingles of one document only come first; they are not in ``common``.
+        rank = F.row_number().over(of_doc.orderBy("df", "g"))
+        behind = F.count(F.lit(1)).over(of_doc) - rank
+        early = stage(
+            common.select("doc", "n", "label", "g", (behind + 1).alias("left"))
+            .where(100 * F.col("left") >= self.percent * F.col("n")),
+            "early",
+        )
+        each = early.groupBy("g", "label").agg(F.count(F.lit(1)).alias("k"))
+        major = each.groupBy("g").agg(F.max_by("label", "k").alias("major"), F.count(F.lit(1)).alias("labels"))
+        major = major.where(F.col("labels") > 1).select("g", "major")
+        x = early.join(major, "g").where(F.col("label") != F.col("major"))
+        x = x.select("g", *[F.col(c).alias(f"{c}_x") for c in ("doc", "n", "label", "left")])
+        y = early.select("g", *[F.col(c).alias(f"{c}_y") for c in ("doc", "n", "label", "left")])
+        enough = (100 + self.percent) * F.least("left_x", "left_y") >= self.percent * (F.col("n_x") + F.col("n_y"))
+        joined = x.join(y, "g").where((F.col("label_x") != F.col("label_y")) & enough)
+        return self.pairs(joined.select(F.col("doc_x").alias("x"), "n_x", F.col("doc_y").alias("y"), "n_y"))
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, rows: int = ROWS) -> DataFrame:
@@ -269,28 +307,16 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, rows: int
     )
     firsts = stage(firsts, "firsts")
     rows_in = firsts.select("doc", "n", F.explode("buckets").alias("bucket"))
-    shared = rows_in.groupBy("bucket").agg(F.count(F.lit(1)).alias("k")).where(F.col("k") > 1).select("bucket")
-    members = stage(rows_in.join(shared, "bucket", "left_semi").select("bucket", "doc", "n"), "members")
+    shared = rows_in.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > 1)
+    members = stage(rows_in.join(shared, "bucket").select("bucket", "doc", "n", "size"), "members")
     wanted = members.select("doc").distinct()
     texts = stage(source.withColumnRenamed("doc_id", "doc").join(wanted, "doc", "left_semi"), "texts")
 
     matcher = _Matcher(members, texts, size, percent)
-    links = matcher.links(matcher.star(_labelled(members, None), 0))
+    links = matcher.links(matcher.star())
     labels = stage(components(links), "labels")
-    left, turn = math.inf, 1
-    while True:
-        labelled = _labelled(members, labels)
-        open_members, count, pairs = matcher.open_buckets(labelled)
-        if not pairs:
-            break
-        # Stars as long as they settle many pairs; then every pair that is left.
-        last = pairs <= 8 * count or pairs > 0.7 * left
-        found = matcher.links(matcher.rest(open_members) if last else matcher.star(open_members, turn))
-        links = links.unionByName(found)
-        labels = stage(components(links), "labels")
-        if last:
-            break
-        left, turn = pairs, turn + 1
+    found = matcher.links(matcher.rest(matcher.open_members(labels)))
+    labels = stage(components(links.unionByName(found)), "labels")
     same_words = firsts.select("words_key", "doc")
     least = same_words.join(labels, "doc", "left").select(
         "words_key", F.coalesce("component", "doc").alias("component")
@@ -317,9 +343,8 @@ def one_of_each(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     dropped = stage(judged.where(~F.col("kept")).select("doc_id").distinct(), "dropped")
     repeated = docs.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.count(F.lit(1)).alias("_rows"))
     repeated = stage(repeated.where(F.col("_rows") > 1).select("doc_id"), "repeated")
-    kept = docs.join(dropped, "doc_id", "left_anti")
-    single = kept.join(repeated, "doc_id", "left_anti")
-    once = kept.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    single = docs.join(repeated, "doc_id", "left_anti").join(dropped, "doc_id", "left_anti")
+    once = docs.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"]).join(dropped, "doc_id", "left_anti")
     return single.unionByName(once).select(*docs.columns)
 
 
