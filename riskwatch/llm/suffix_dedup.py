@@ -7,6 +7,7 @@ strings of ``length`` bytes are compared, none across documents.
    hash of its short grams (winnowing). Equal strings have equal places, so a
    string can only repeat where its place's fingerprint does. A document sends
    each fingerprint once; those that come twice remain. Nothing is lost here.
+   Later copies of a whole text lose all bytes and go no further.
 2. Documents with such fingerprints send the segment around each place: the
    strings that belong to it. Equal segments of a batch are combined first.
 3. Segments meet by fingerprint. A task cuts them into shards of bounded size,
@@ -37,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskwatch.llm.common import ship, stage
+from riskwatch.llm.common import new_path, ship
 
 LENGTH = 100
 GRAM = 32
@@ -372,23 +373,36 @@ def cut_out(text: bytes, covers: list[tuple[int, int]]) -> tuple[bytes, int]:
 
 
 def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    names = ["doc_id", "text_sha", "left", "n_spans", "kept_sha256", "kept_bytes"]
+    names = ["doc_id", "text_sha", "left", "n_spans", "kept_sha256"]
     for batch in batches:
-        sha, left, spans, kept_sha, kept_bytes = [], [], [], [], []
+        sha, left, spans, kept_sha = [], [], [], []
         for text, covers in zip(_bytes_of(batch.column(1)), batch.column(2).to_pylist(), strict=True):
             kept, runs = cut_out(text, [(c["at"], c["size"]) for c in covers])
             sha.append(hashlib.sha256(text).hexdigest())
             left.append(len(kept))
             spans.append(runs)
             kept_sha.append(hashlib.sha256(kept).hexdigest())
-            kept_bytes.append(kept)
-        arrays = [pa.array(sha), pa.array(left, pa.int64()), pa.array(spans, pa.int64()), pa.array(kept_sha), pa.array(kept_bytes, pa.binary())]
+        arrays = [pa.array(sha), pa.array(left, pa.int64()), pa.array(spans, pa.int64()), pa.array(kept_sha)]
         yield pa.RecordBatch.from_arrays([batch.column(0), *arrays], names=names)
 
 
-def removals(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """Of documents that lose bytes: doc_id, text_sha, left, n_spans, kept_sha256
-    and the remaining bytes as ``kept_bytes``."""
+def _by_id(df: DataFrame, name: str) -> DataFrame:
+    """Writes ``df`` as a table in buckets of ``doc_id``, which joins on the id
+    read as they are, without another shuffle."""
+    spark = df.sparkSession
+    path = new_path(spark, name)
+    table = f"{name}_{path[-32:]}"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    writer = df.write.bucketBy(buckets, "doc_id").option("compression", "zstd").option("path", path)
+    writer.saveAsTable(table)
+    return spark.table(table)
+
+
+def covered(docs: DataFrame, length: int = LENGTH) -> DataFrame:
+    """(doc_id, text, covers): documents with repeated strings and their ranges.
+
+    Later copies of a whole text are left out; they lose all bytes.
+    """
     ship(docs.sparkSession)
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where(
         F.col("doc_id").isNotNull() & (F.octet_length("text") >= length)
@@ -397,7 +411,8 @@ def removals(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     alike = Window.partitionBy("fp")
     shared = prints.withColumn("n", F.count(F.lit(1)).over(alike)).where((F.col("n") > 1) | F.col("many"))
     of_doc = shared.groupBy("doc_id").agg(F.collect_set("fp").alias("fps"))
-    suspects = stage(source.join(of_doc, "doc_id"), "suspects")
+    firsts = _firsts(source.select("doc_id", F.sha2("text", 256).alias("text_sha"))).select(F.col("first").alias("doc_id")).distinct()
+    suspects = _by_id(source.join(of_doc.join(firsts, "doc_id", "left_semi"), "doc_id"), "suspects")
     segments = suspects.mapInArrow(_segments(length), "fp long, doc_id long, at long, size int, bytes binary")
     covers = (
         segments.repartition("fp")
@@ -406,9 +421,12 @@ def removals(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         .groupBy("doc_id")
         .agg(F.collect_list(F.struct("at", "size")).alias("covers"))
     )
-    return suspects.select("doc_id", "text").join(covers, "doc_id").select("doc_id", "text", "covers").mapInArrow(
-        _remove, "doc_id long, text_sha string, left long, n_spans long, kept_sha256 string, kept_bytes binary"
-    )
+    return suspects.select("doc_id", "text").join(covers, "doc_id").select("doc_id", "text", "covers")
+
+
+def _firsts(rows: DataFrame) -> DataFrame:
+    """(text_sha, first): the least id of each text."""
+    return rows.groupBy("text_sha").agg(F.min("doc_id").alias("first"))
 
 
 def dedup(docs: DataFrame, length: int = LENGTH) -> DataFrame:
@@ -419,13 +437,19 @@ def dedup(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         F.octet_length(text).cast("bigint").alias("n_bytes"),
         F.sha2(text, 256).alias("text_sha"),
     )
-    lost = removals(docs, length).drop("kept_bytes").distinct()
-    return base.join(lost, ["doc_id", "text_sha"], "left").select(
+    lost = covered(docs, length).mapInArrow(
+        _remove, "doc_id long, text_sha string, left long, n_spans long, kept_sha256 string"
+    )
+    joined = base.join(_firsts(base), "text_sha", "left").join(
+        lost.distinct(), ["doc_id", "text_sha"], "left"
+    )
+    copy = (F.col("doc_id") > F.col("first")) & (F.col("n_bytes") >= length)
+    return joined.select(
         "doc_id",
         "n_bytes",
-        (F.col("n_bytes") - F.coalesce("left", "n_bytes")).alias("n_removed"),
-        F.coalesce("n_spans", F.lit(0)).cast("bigint").alias("n_spans"),
-        F.coalesce("kept_sha256", "text_sha").alias("kept_sha256"),
+        F.when(copy, F.col("n_bytes")).otherwise(F.col("n_bytes") - F.coalesce("left", "n_bytes")).alias("n_removed"),
+        F.when(copy, F.lit(1)).otherwise(F.coalesce("n_spans", F.lit(0))).cast("bigint").alias("n_spans"),
+        F.when(copy, F.sha2(F.lit(""), 256)).otherwise(F.coalesce("kept_sha256", "text_sha")).alias("kept_sha256"),
     )
 
 
