@@ -147,7 +147,8 @@ def _segments(length: int):
                     there = kept.setdefault(key, here)
                     if there != here:
                         kept[key], later = min(here, there), max(here, there)
-                        covered.append((key[0], *later, b - a, None))
+                        # Settled already: any task may pass it on.
+                        covered.append((hash(later), *later, b - a, None))
             rows = [(f, d, at, len(s), s) for (f, s), (d, at) in kept.items()] + covered
             for at in range(0, len(rows), 20_000):
                 columns = zip(*rows[at : at + 20_000], strict=True)
