@@ -12,7 +12,8 @@ the manifest, which Spark commits, are part of the output.
 
 The library encodes every word it has not met yet; words are cut where its own
 first split always cuts (before a single space), so ids are those of the whole
-text. A text with other white space around a cut is encoded whole.
+text. A text with other white space around a cut, or with the content of one of the
+library's added tokens (``<|endoftext|>``, which is one id), is encoded whole.
 
 Defined results: a null or empty text has the end id only. Rows without
 ``doc_id`` come first; repeated ids stay together, each with its own ids. Only
@@ -78,10 +79,11 @@ class WordEncoder:
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task per core
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         if self.tokenizer.normalizer is not None:
             raise ValueError("a normalizer would need the whole text")
         self.model = self.tokenizer.model
+        #: The library looks for these before its first split.
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.letters = _byte_letters()
         self.space = chr(self.letters[32])
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
@@ -140,7 +142,7 @@ class WordEncoder:
             self.marks = {"": b""}
         out = []
         for text in texts:
-            keys = _cut(text)
+            keys = None if any(x in text for x in self.added) else _cut(text)
             if keys is None:
                 out.append(self._whole(text))
                 continue

@@ -250,6 +250,17 @@ def test_token_files_hold_the_whole_texts_ids(spark):
         start += len(ids)
 
 
+def test_token_files_hold_added_tokens(spark):
+    texts = ["<|endoftext|>", "one <|endoftext|> two", "glued<|endoftext|>words", "  <|endoftext|>  ", "plain <|endoftext| >", "<|endoftext|>" * 3 + "\n", "after"]
+    library = Tokenizer.from_file(public_tokenizers.path(token_output.TOKENIZER))
+    got = {r["doc_id"]: tuple(r)[1:] for r in token_output.token_files(plain(spark, list(enumerate(texts)))).collect()}
+    start = 0
+    for doc, text in enumerate(texts):
+        ids = [*library.encode(text, add_special_tokens=False).ids, 0]
+        assert got[doc] == (start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
+        start += len(ids)
+
+
 @pytest.mark.skipif(not Path(SF_DIR).is_dir(), reason="no driver tables")
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
 def test_queries_equal_sql(spark, name):

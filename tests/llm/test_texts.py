@@ -131,6 +131,19 @@ def test_remembered_words_give_the_whole_texts_ids(byte_library, text):
     assert got == byte_library.encode(text, add_special_tokens=False).ids
 
 
+@pytest.fixture(scope="module")
+def loaded_library():
+    return Tokenizer.from_file(public_tokenizers.path(token_output.TOKENIZER))
+
+
+@many
+@given(st.lists(st.sampled_from(["<|endoftext|>", "<|endoftext", "|>", "<|", " ", "one", "two.", "\n", "\t", "é"]), max_size=12))
+def test_added_tokens_are_those_of_the_library_as_loaded(loaded_library, parts):
+    words, text = token_output.encoder(public_tokenizers.path(token_output.TOKENIZER)), "".join(parts)
+    got = np.frombuffer(words.encode([text])[0], words.dtype).tolist()
+    assert got == loaded_library.encode(text, add_special_tokens=False).ids
+
+
 def test_main_text():
     page = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var t="</p>";</script></head><body>
       <header><a href=/>Home</a></header><nav><ul><li><a href=/a>A</a></ul></nav><div class="cookie-notice">We use cookies.</div>
