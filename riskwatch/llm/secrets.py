@@ -9,6 +9,8 @@ reported as ``novel``, besides the base kinds, which are always reported.
 
 Each row is handled by itself, in Arrow batches. The compressor sees a window of
 ``AROUND`` characters on both sides of a candidate, so cost is linear in the text.
+Copies of the candidate in the window are blanked out first: a key that stands
+twice close by is as novel as one that stands once, at both places.
 
 Defined results: a null text is an empty one, without spans. A null ``doc_id``
 stays null. Repeated rows give a row each; other columns are not read. Positions
@@ -46,6 +48,11 @@ _CONTEXT = re.compile(
     re.IGNORECASE | re.ASCII,
 )
 
+# A run of this kind is a key of its own in a candidate like "id=...;" or "... .".
+_RUN = re.compile(r"[A-Za-z0-9]{16,}")
+_MARKS = "+/_.=-"
+_LEAST_COPY = 8
+
 # Identifiers and words that are common around keys and are none.
 IDENTIFIERS = (
     "password passwd secret token api_key apikey access_key client_id client_secret private_key public_key "
@@ -69,10 +76,27 @@ def _size(text: str) -> int:
     return len(_compressors[0].compress(text.encode()))
 
 
+def _around(text: str, start: int, end: int) -> str:
+    """The text on both sides of a candidate, with copies of it blanked out.
+
+    A copy across the window's border lies whole in the wider window, so its part
+    inside goes too.
+    """
+    key, wide = text[start:end], AROUND + end - start
+    copy, runs = key.strip(_MARKS), set(_RUN.findall(key))
+
+    def blanked(part: str) -> str:
+        if len(copy) >= _LEAST_COPY:
+            part = part.replace(copy, " " * len(copy))
+        return _RUN.sub(lambda m: " " * len(m[0]) if m[0] in runs else m[0], part) if runs else part
+
+    return blanked(text[max(0, start - wide) : start])[-AROUND:] + blanked(text[end : end + wide])[:AROUND]
+
+
 def novelty(text: str, start: int, end: int) -> float:
     """Marginal compressed bytes a character of ``text[start:end]``."""
-    before, after = text[max(0, start - AROUND) : start], text[end : end + AROUND]
-    return (_size(before + after + text[start:end]) - _size(before + after)) / (end - start)
+    around = _around(text, start, end)
+    return (_size(around + text[start:end]) - _size(around)) / (end - start)
 
 
 def base_spans(text: str) -> list[Span]:

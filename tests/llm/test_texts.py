@@ -4,6 +4,7 @@ import random
 import re
 from html import unescape
 from pathlib import Path
+from string import ascii_letters, digits
 
 import numpy as np
 import public_tokenizers
@@ -87,6 +88,18 @@ def test_novelty_tells_keys_from_names():
     assert hits == 100 and misses <= 8
 
 
+@pytest.mark.parametrize("gap", [1, 40, 150, 190, 230])
+def test_a_key_that_stands_twice_is_novel_at_both_places(gap):
+    pick = random.Random(gap)
+    for _ in range(60):
+        key = "".join(pick.choices(ascii_letters + digits, k=40))
+        words = " ".join(pick.choices(secrets.IDENTIFIERS.split(), k=60))
+        first = f"set private_key: {key} "
+        text = f"{words[:150]} {first}{words[150 : 150 + gap]} and session = {key}. {words[-60:]}"
+        found = [s[1:] for s in secrets.find_spans(text) if s[0] == "novel"]
+        assert [text[a:b].strip(".") for a, b in found] == [key, key]
+
+
 @pytest.fixture(scope="module")
 def library():
     model = unigram.load(MODEL)
