@@ -4,8 +4,11 @@ A candidate is a string in a sensitive context. Its novelty is measured by a
 compressor that is primed with the identifiers and fixed words of code: the
 compressed size of the surrounding text with the candidate less the size without
 it. Names, words and repeated text cost little; random keys cost nearly their
-full information. Candidates whose marginal bytes a character reach ``NOVEL`` are
-reported as ``novel``, besides the base kinds, which are always reported.
+full information. What that is depends on the alphabet, the length and the
+surroundings, so ``DRAWS`` fixed random strings of the candidate's own alphabet
+and length are measured in the same place. Candidates that cost ``SHARE`` of their
+mean, less ``SLACK`` bytes, are reported as ``novel``, besides the base kinds,
+which are always reported.
 
 Each row is handled by itself, in Arrow batches. The compressor sees a window of
 ``AROUND`` characters on both sides of a candidate, so cost is linear in the text.
@@ -20,8 +23,11 @@ are code points, ends exclusive; spans of different kinds may overlap.
 from __future__ import annotations
 
 import hashlib
+import random
 import re
 from collections.abc import Iterator
+from functools import lru_cache
+from string import ascii_lowercase, ascii_uppercase, digits
 
 import pyarrow as pa
 import zstandard
@@ -30,7 +36,7 @@ from pyspark.sql import DataFrame
 from riskwatch.llm.common import ship
 
 BASE = ("assign", "access", "hex")
-NOVEL = 0.84
+SHARE, SLACK, DRAWS = 0.85, 1.0, 6
 AROUND = 200
 SHORTEST = 16
 
@@ -52,6 +58,7 @@ _CONTEXT = re.compile(
 _RUN = re.compile(r"[A-Za-z0-9]{16,}")
 _MARKS = "+/_.=-"
 _LEAST_COPY = 8
+_USUAL = (digits, digits + "abcdef", digits + "ABCDEF")
 
 # Identifiers and words that are common around keys and are none.
 IDENTIFIERS = (
@@ -62,9 +69,53 @@ IDENTIFIERS = (
     "abcdefghijklmnopqrstuvwxyz ABCDEFGHIJKLMNOPQRSTUVWXYZ 0123456789 0123456789abcdef xxxxxxxxxxxxxxxx "
     "the and for that with this from have are was not but you all can had her his one our out day get has him how"
 )
+# Other words that names are made of.
+NAME_WORDS = (
+    "about above abstract accept account action active adapter address after agent alias align allow already always "
+    "analysis analyze another answer append application apply argument array assert assign async attach attempt "
+    "attribute audit available average await backend background backup balance base batch before begin between binary "
+    "block body boolean border bottom boundary branch broker browser buffer build builder bundle button byte cache "
+    "calculate callback cancel capture catalog category center certificate change channel character charge check "
+    "child choice chunk clean clear click clone close cluster code collect collection color column command comment "
+    "commit common compare compile complete component compress compute condition confirm connect consumer contact "
+    "contain container content context continue control convert coordinate copy count country create current cursor "
+    "custom customer data date debug decimal decode decorator default define delay delete delimiter deploy depth "
+    "describe description destination detail detect device dialog dictionary difference digest dimension direct "
+    "directory disable discard dispatch display document domain double download driver dynamic edge edit element "
+    "email empty enable encode encrypt engine ensure entity entry enum error escape evaluate event every exact except "
+    "exception execute exist exit expand expect expire explain export expression extend external extract factory "
+    "failure feature fetch field file fill filter final find finish first flag flatten float flush folder follow "
+    "footer force foreign format forward fragment frame framework free full future gateway general generate generator "
+    "global grant graph group handle handler hash header height helper hidden history hook hour icon identifier "
+    "ignore image implement include index information initial initialize inner input insert inspect install instance "
+    "integer interface internal interval invalid invoke issue item iterator join journal keyword label language large "
+    "last latest layer layout length level library license limit line link list listen load local location lock "
+    "logger login lookup machine main manager manifest mapping margin marker mask master match matrix maximum measure "
+    "member memory menu merge message metadata method metric middle migration minimum minute mobile mode model modify "
+    "module monitor month mount move multiple native network next node normal notification notify number object "
+    "offset online open operation operator option order origin other outer output overflow override owner package "
+    "packet padding page parameter parent parse partial partition party patch path pattern payment peer pending "
+    "percent performance permission persistent phone pipeline pixel plain platform plugin point pointer policy pool "
+    "popup port position post prefix prepare present preview previous price primary print priority process processor "
+    "produce product profile program progress project promise prompt property protocol provider proxy publish push "
+    "quality query queue quick quote random range rate read reader ready reason receive record redirect reduce "
+    "reference refresh register registry relation release reload remote remove rename render repeat replace report "
+    "repository request require reset resize resolve resource response rest result resume retry reverse revision "
+    "right role rollback root rotate round route router rule runtime safe sample save scale schedule schema scope "
+    "score screen script scroll search second section security segment select send sender separator sequence serial "
+    "server service share shell shift short signal simple single size skip slice small snapshot socket sort source "
+    "space span special split stack stage standard start state statement static station statistics status step stop "
+    "storage store stream street strict style subject submit subscribe success suffix summary support switch symbol "
+    "sync system table tag target task template temporary tenant terminal test text thread threshold throw ticket "
+    "time timeout timestamp title toggle tool total trace track traffic transaction transfer transform translate "
+    "transport tree trigger trim tuple type undefined unique unit unknown unlock until update upgrade upload usage "
+    "valid validate variable vector vendor verbose verify version vertical video view virtual visible visit volume "
+    "wait warning watch weight width widget window wrapper write writer year zone"
+)
 
 Span = tuple[str, int, int]
-_dictionary = zstandard.ZstdCompressionDict(IDENTIFIERS.encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+_primer = f"{NAME_WORDS} {IDENTIFIERS}".encode()
+_dictionary = zstandard.ZstdCompressionDict(_primer, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
 _compressors: list[zstandard.ZstdCompressor] = []
 
 
@@ -93,10 +144,36 @@ def _around(text: str, start: int, end: int) -> str:
     return blanked(text[max(0, start - wide) : start])[-AROUND:] + blanked(text[end : end + wide])[:AROUND]
 
 
-def novelty(text: str, start: int, end: int) -> float:
-    """Marginal compressed bytes a character of ``text[start:end]``."""
-    around = _around(text, start, end)
-    return (_size(around + text[start:end]) - _size(around)) / (end - start)
+def alphabet_of(key: str) -> str:
+    """The smallest usual alphabet that holds a key; marks only as they occur."""
+    found = set(key)
+    for usual in _USUAL:
+        if found <= set(usual):
+            return usual
+    classes = [c for c in (ascii_lowercase, ascii_uppercase, digits) if not found.isdisjoint(c)]
+    return "".join([*classes, *sorted(found.intersection(_MARKS))])
+
+
+def _draws(alphabet: str, length: int) -> list[str]:
+    """Random strings, the same ones in every process."""
+    pick = random.Random(f"{alphabet} {length}")
+    return ["".join(pick.choices(alphabet, k=length)) for _ in range(DRAWS)]
+
+
+_short_draws = lru_cache(maxsize=1000)(_draws)
+
+
+def novelty(text: str, start: int, end: int) -> tuple[int, float]:
+    """Marginal compressed bytes of ``text[start:end]``, and of random strings there."""
+    around, key = _around(text, start, end), text[start:end]
+    base = _size(around)
+    draws = (_short_draws if len(key) <= 500 else _draws)(alphabet_of(key), len(key))
+    return _size(around + key) - base, sum(_size(around + d) - base for d in draws) / DRAWS
+
+
+def is_novel(text: str, start: int, end: int) -> bool:
+    own, usual = novelty(text, start, end)
+    return own >= SHARE * usual - SLACK
 
 
 def base_spans(text: str) -> list[Span]:
@@ -118,7 +195,7 @@ def novel_spans(text: str) -> list[Span]:
     found = []
     for m in _CONTEXT.finditer(text):
         start, end = m.span(1)
-        if end - start >= SHORTEST and novelty(text, start, end) >= NOVEL:
+        if end - start >= SHORTEST and is_novel(text, start, end):
             found.append(("novel", start, end))
     return found
 

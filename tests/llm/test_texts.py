@@ -4,7 +4,7 @@ import random
 import re
 from html import unescape
 from pathlib import Path
-from string import ascii_letters, digits
+from string import ascii_letters, ascii_lowercase, digits
 
 import numpy as np
 import public_tokenizers
@@ -100,6 +100,28 @@ def test_a_key_that_stands_twice_is_novel_at_both_places(gap):
         assert [text[a:b].strip(".") for a, b in found] == [key, key]
 
 
+CODE = Path(random.__file__).read_text()
+
+
+@pytest.mark.parametrize("length", [16, 32, 40, 64, 128])
+@pytest.mark.parametrize("alphabet", [digits, digits + "abcdef", digits + "ABCDEF", ascii_lowercase, ascii_lowercase + digits, ascii_letters + digits + "+/"])
+def test_random_keys_in_code_are_novel_in_every_alphabet(alphabet, length):
+    pick, found = random.Random(length), 0
+    for _ in range(50):
+        key = "".join(pick.choices(alphabet, k=length))
+        at = pick.randrange(len(CODE) - 400)
+        lead = CODE[at : at + 180] + '\nprivate_key = "'
+        spans = secrets.find_spans(f'{lead}{key}"\n{CODE[at + 200 : at + 400]}')
+        found += ("novel", len(lead), len(lead) + length) in spans
+    assert found >= 45
+
+
+def test_random_strings_are_drawn_from_the_keys_alphabet():
+    assert secrets.alphabet_of("0123") == digits and secrets.alphabet_of("ab12") == digits + "abcdef"
+    assert secrets.alphabet_of("gh_1.") == ascii_lowercase + digits + "._"
+    assert secrets._draws("ab", 20) == secrets._draws("ab", 20)
+
+
 @pytest.fixture(scope="module")
 def library():
     model = unigram.load(MODEL)
