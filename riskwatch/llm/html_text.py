@@ -4,7 +4,10 @@ A page becomes blocks of text with their place in the element tree. A linear
 classifier with fixed weights (enclosing elements, class and id words, length,
 share of linked text) gives each block a score. Scores are terminal capacities:
 a positive one is the cost of calling the block boilerplate, a negative one that
-of calling it content. Blocks next to each other, and blocks of one parent, are
+of calling it content. A page without a block in an element of content
+(article, main, or class words like them) says nothing about where its text is:
+there, a block counts as content until its elements, words or links speak against
+it, however short it is. Blocks next to each other, and blocks of one parent, are
 joined by smoothness edges. The least cut, found by augmenting paths, separates
 content from boilerplate; blocks whose score exceeds all their edges are on a
 known side of any least cut and are settled first.
@@ -14,7 +17,9 @@ Each page is handled by itself, in Arrow batches: nothing is shuffled.
 Defined results: a null or empty page, or one without content, has an empty text.
 A null ``page_id`` or ``url`` stays null, repeated rows give a row each, other
 columns are not read. Broken markup is read as far as it goes: unclosed elements
-end with the one around them, a stray ``<`` is text.
+end with the one around them, a stray ``<`` is text. Formulas (MathML) are text,
+a space before each of their symbols; a formula's annotations, which repeat it,
+drawings (svg) with their labels, and what a form holds are not.
 """
 
 from __future__ import annotations
@@ -31,11 +36,17 @@ from pyspark.sql import DataFrame
 from riskwatch.llm.common import ship
 
 # Elements by their role, and words of class and id attributes.
-RAW = frozenset("script style template noscript title svg math iframe object canvas audio video textarea".split())
+RAW = frozenset(
+    "script style template noscript title svg iframe object canvas audio video textarea "
+    "annotation annotation-xml".split()
+)
+MATH_TOKEN = frozenset("mi mn mo ms mtext".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data dfn del em font i ins kbd label mark q rp rt ruby s samp small span "
-    "strike strong sub sup time tt u var wbr img".split()
+    "strike strong sub sup time tt u var wbr img "
+    "math mi mn mo ms mtext mrow mfrac msqrt mroot mstyle merror mpadded mphantom menclose maction semantics msub msup "
+    "msubsup munder mover munderover mmultiscripts mprescripts none mspace mtable mtr mtd mlabeledtr".split()
 )
 ELEMENT_WEIGHT = {
     "article": 6.0, "main": 3.0, "h1": 1.0, "blockquote": 0.5,
@@ -53,6 +64,8 @@ BAD_STEM = re.compile(
 )
 GOOD_WORDS = frozenset("article content post entry story main".split())
 BAD_HINT, GOOD_HINT = -16.0, 2.0
+# PLAIN: the start on pages without an element of content; ROLE: what makes one.
+PLAIN, ROLE = 0.5, 2.0
 START, PER_WORD, MOST_WORDS, PER_LINKED = -1.5, 0.12, 40, -5.0
 NEXT, ACROSS, SIBLING = 0.8, 0.2, 0.4
 
@@ -74,6 +87,7 @@ class Block:
     score: float
     parent: int
     section: int
+    role: bool
 
 
 def _attribute_weight(rest: str) -> float:
@@ -107,7 +121,7 @@ class _Reader:
             around = next(x for x in reversed(self.open) if x[0] not in INLINE)
             words = text.count(" ") + 1
             score = around[1] + PER_WORD * min(words, MOST_WORDS) + PER_LINKED * min(1.0, self.linked / len(text))
-            self.blocks.append(Block(text, score, around[2], around[3]))
+            self.blocks.append(Block(text, score, around[2], around[3], around[1] >= START + ROLE))
         self.parts, self.linked = [], 0
 
     def text(self, raw: str) -> None:
@@ -117,6 +131,8 @@ class _Reader:
             self.linked += len(plain)
 
     def start(self, tag: str, rest: str) -> None:
+        if tag in MATH_TOKEN:
+            self.parts.append(" ")
         if tag not in INLINE:
             self.flush()
             if tag in ("p", "li", "dt", "dd", "tr", "td", "th", "option"):
@@ -246,7 +262,8 @@ def _augment(score: list[float], near: list[dict[int, float]], side: list) -> No
 
 def main_text(html: str | None) -> str:
     blocks = blocks_of(html) if html else []
-    content = least_cut([b.score for b in blocks], _edges(blocks))
+    more = 0.0 if any(b.role for b in blocks) else PLAIN - START
+    content = least_cut([b.score + more for b in blocks], _edges(blocks))
     return " ".join(b.text for b, kept in zip(blocks, content, strict=True) if kept)
 
 

@@ -189,6 +189,30 @@ def test_main_text():
     assert html_text.main_text(page) == "Head & line One two three. Fouré. Last."
 
 
+def test_pages_without_an_element_of_content():
+    around = '<nav><ul><li><a href=/>Home</a><li><a href=/b>Books and more</a></ul></nav>{}<div class="ad">Buy now.</div><footer>Me, 2020</footer>'
+    lines = ["Who is there?", "I.", "Come in, then.", "No.", "Then stay where you are, and let me sleep."]
+    dialogue = "".join(f"<p>{x}</p>" for x in lines)
+    long = "There was a house by the river, and an old man lived in it with nobody else but his cat."
+    for inside, text in [
+        (dialogue, " ".join(lines)),
+        ("<h1>The moon</h1><div>O moon,<br>o night,<br>o light.</div>", "The moon O moon, o night, o light."),
+        ("<p>Moved.</p>", "Moved."),
+        (f"<p>{long}</p>{dialogue}<p>{long}</p>", f"{long} {' '.join(lines)} {long}"),
+    ]:
+        assert html_text.main_text(f"<html><body>{around.format(inside)}</body></html>") == text
+    assert html_text.main_text("a < b &amp; c") == "a < b & c"
+    assert html_text.main_text(around.format("")) == ""
+    # With an element of content, short blocks outside it stay out.
+    assert html_text.main_text(f"<p>Top.</p><article><p>{long}</p></article><p>End.</p>") == long
+
+
+def test_formulas_are_text():
+    page = """<article><p>So <math><semantics><mrow><mi>a</mi><mo>=</mo><mfrac><mn>1</mn><mn>2</mn></mfrac></mrow>
+      <annotation encoding="application/x-tex">a=\\frac12</annotation></semantics></math> holds.<svg><text>Label</text></svg></article>"""
+    assert html_text.main_text(page) == "So a = 1 2 holds."
+
+
 def test_least_cut_is_least():
     pick = random.Random(11)
     for _ in range(60):
