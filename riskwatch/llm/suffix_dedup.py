@@ -9,7 +9,10 @@ strings of ``length`` bytes are compared, none across documents.
    each fingerprint once; those that come twice remain. Nothing is lost here.
    Later copies of a whole text lose all bytes and go no further.
 2. Documents with such fingerprints send the segment around each place: the
-   strings that belong to it. Equal segments of a batch are combined first.
+   strings that belong to it. Equal segments of a batch are combined first. A
+   fingerprint of more than ``HOT`` documents is split by content: strings that
+   start within ``WIDTH`` bytes before its place share a core, and its bytes are
+   the key, so different texts around one passage go to different tasks.
 3. Segments meet by fingerprint. A task cuts them into shards of bounded size,
    sorts a shard's suffixes by refinement in the manner of Larsson and Sadakane
    (groups doubled in depth, only unsorted ones touched), and takes common
@@ -45,6 +48,8 @@ GRAM = 32
 BLOCK = 1 << 20
 PIECE = 8 << 20
 SHARD = 2 << 20
+HOT = 10_000
+WIDTH = 8
 PLACE = np.uint64((1 << 24) - 1)
 MIX = np.uint64(0x9FB21C651E98DF25)
 
@@ -124,6 +129,27 @@ def _fingerprints(length: int):
     return run
 
 
+def _split(fp: int, doc: int, at: int, raw: bytes, length: int) -> list[tuple[int, int, int, int, bytes]]:
+    """The rows of a hot fingerprint's segment: each of its strings in one of them.
+
+    A string's distance to its place follows from its bytes, and so does the core
+    that all strings of a range of distances hold: equal strings get equal keys.
+    """
+    last = len(raw) - length
+    hashes = _gram_hashes(np.frombuffer(raw, np.uint8)).view(np.int64)
+    place = last + int(np.flatnonzero(hashes[last : length - GRAM + 1] == fp)[0])
+    rows, start = [], 0
+    while start <= last:
+        group = (place - start) // WIDTH
+        core = place - group * WIDTH
+        end = min(last, core) + length
+        mark = hashlib.blake2b(b"%d %d " % (fp, group) + raw[core : core - WIDTH + 1 + length], digest_size=8).digest()
+        key = int.from_bytes(mark, "little", signed=True)
+        rows.append((key, doc, at + start, end - start, raw[start:end]))
+        start = end - length + 1
+    return rows
+
+
 def _segments(length: int):
     """(fp, doc_id, at, size, bytes): segments; without bytes, a covered range."""
     schema = pa.schema(
@@ -133,6 +159,7 @@ def _segments(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, shared = batch.column(0).to_pylist(), np.unique(batch.column(2).flatten().to_numpy())
+            hot = set(batch.column(3).flatten().to_pylist())
             kept: dict[tuple[int, bytes], tuple[int, int]] = {}
             covered = []
             for block in _pieces(_bytes_of(batch.column(1)), length):
@@ -149,7 +176,8 @@ def _segments(length: int):
                         kept[key], later = min(here, there), max(here, there)
                         # Settled already: any task may pass it on.
                         covered.append((hash(later), *later, b - a, None))
-            rows = [(f, d, at, len(s), s) for (f, s), (d, at) in kept.items()] + covered
+            rows = [(f, d, at, len(s), s) for (f, s), (d, at) in kept.items() if f not in hot] + covered
+            rows += [row for (f, s), (d, at) in kept.items() if f in hot for row in _split(f, d, at, s, length)]
             for at in range(0, len(rows), 20_000):
                 columns = zip(*rows[at : at + 20_000], strict=True)
                 yield pa.RecordBatch.from_arrays(
@@ -411,7 +439,9 @@ def covered(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     prints = source.mapInArrow(_fingerprints(length), "fp long, doc_id long, many boolean")
     alike = Window.partitionBy("fp")
     shared = prints.withColumn("n", F.count(F.lit(1)).over(alike)).where((F.col("n") > 1) | F.col("many"))
-    of_doc = shared.groupBy("doc_id").agg(F.collect_set("fp").alias("fps"))
+    of_doc = shared.groupBy("doc_id").agg(
+        F.collect_set("fp").alias("fps"), F.collect_set(F.when(F.col("n") > HOT, F.col("fp"))).alias("hot")
+    )
     firsts = _firsts(source.select("doc_id", F.sha2("text", 256).alias("text_sha"))).select(F.col("first").alias("doc_id")).distinct()
     suspects = _by_id(source.join(of_doc.join(firsts, "doc_id", "left_semi"), "doc_id"), "suspects")
     segments = suspects.mapInArrow(_segments(length), "fp long, doc_id long, at long, size int, bytes binary")

@@ -131,6 +131,31 @@ def test_removed_bytes_equal_brute_force(spark, seed):
     assert got == brute_removed(rows, suffix_dedup.LENGTH)
 
 
+@pytest.mark.parametrize("seed", [1, 5])
+def test_split_fingerprints_change_nothing(spark, monkeypatch, seed):
+    monkeypatch.setattr(suffix_dedup, "HOT", 1)
+    rows = repeated_passages(seed)
+    got = {r["doc_id"]: tuple(r)[1:] for r in suffix_dedup.dedup(plain(spark, rows)).collect()}
+    assert got == brute_removed(rows, suffix_dedup.LENGTH)
+
+
+def test_a_hot_fingerprint_is_spread_by_its_texts():
+    """A passage between other texts in each document: most keys hold few strings."""
+    length, pick = suffix_dedup.LENGTH, random.Random(3)
+    passage, keys, strings = sentence(pick, 9).encode(), Counter(), Counter()
+    for doc in range(300):
+        text = sentence(pick, 30).encode() + passage + sentence(pick, 30).encode()
+        _, _, first, last, fp = suffix_dedup._places([(0, 0, text)], length)
+        for f, a, b in zip(fp.tolist(), first.tolist(), last.tolist(), strict=True):
+            rows = suffix_dedup._split(f, doc, a, text[a : b + length], length)
+            starts = [at + k for _, _, at, size, raw in rows for k in range(len(raw) - length + 1)]
+            assert starts == list(range(a, b + 1)) and all(text[at : at + size] == raw for _, _, at, size, raw in rows)
+            strings[f] += sum(len(raw) for *_, raw in rows)
+            for key, _, _, size, _ in rows:
+                keys[key] += size
+    assert max(strings.values()) > 300 * length and max(keys.values()) < max(strings.values()) / 3
+
+
 @pytest.mark.parametrize("shard, block, piece", [(1, 1, 150), (3000, 4000, 700), (1 << 21, 1 << 20, 8 << 20)])
 def test_shards_pieces_and_blocks_change_nothing(monkeypatch, shard, block, piece):
     """One fingerprint over many shards is merged by binary search."""
