@@ -5,8 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from riskwatch.llm import (
+    conversations,
     decontaminate,
+    fill_middle,
     html_text,
+    mixing,
     near_dedup,
     pieces,
     pii,
@@ -59,11 +62,24 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.dedup(table(spark, sf_dir, "documents"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.report(conversations.damaged(table(spark, sf_dir, "conversations")))
+
+
+def op12_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_middle.digests(fill_middle.transform(table(spark, sf_dir, "documents")))
+
+
+def op13_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.plan(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_token_output, op2_pii, op3_secrets, op4_decontamination, op5_token_counts, op6_html_text,
         op7_quality_rules, op8_sentencepiece, op9_near_dedup, op10_suffix_dedup,
+        op11_conversation_repair, op12_fill_middle, op13_mixing,
     )
 }
 ORACLES = {
@@ -71,4 +87,6 @@ ORACLES = {
     "op7_quality_rules": quality.oracle(),
     "op9_near_dedup": near_dedup.oracle(),
     "op10_suffix_dedup": suffix_dedup.oracle(),
+    "op12_fill_middle": fill_middle.oracle(),
+    "op13_mixing": mixing.oracle(),
 }

@@ -4,7 +4,7 @@ import hashlib
 
 import pytest
 
-from riskwatch.llm import decontaminate, html_text, near_dedup, pieces, pii, quality, secrets, suffix_dedup, token_counts, token_output
+from riskwatch.llm import decontaminate, fill_middle, html_text, mixing, near_dedup, pieces, pii, quality, secrets, suffix_dedup, token_counts, token_output
 from tests.llm.data import documents, edge_rows, plain
 
 EMPTY_SHA = hashlib.sha256(b"").hexdigest()
@@ -29,6 +29,8 @@ OPERATORS = {
     "pieces": lambda spark, docs: pieces.encode(docs),
     "near": lambda spark, docs: near_dedup.near_duplicates(docs),
     "suffix": lambda spark, docs: suffix_dedup.dedup(docs),
+    "fill": lambda spark, docs: fill_middle.digests(fill_middle.transform(docs)),
+    "mix": lambda spark, docs: mixing.plan(docs),
 }
 
 
