@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 ROW_NUMBER = "rowno"
 
@@ -46,33 +47,45 @@ def with_previous(
 
     ``previous`` maps new column -> source column. A single window over the key
     would put a hot key's whole history into one task. Here rows are windowed
-    per (key, time bucket); only a bucket's first row needs to look further
-    back, and it takes the closing values of the key's last bucket before it.
-    Exact as long as ``bucket`` grows with the first ordering column.
-
-    ``earlier`` holds at most one row per key from before all of ``df``. It
-    serves as a predecessor only and is not part of the result.
+    per (key, time bucket). Only a bucket's first row looks further back, to the
+    closing row of the key's last bucket before it: the first and last rows of
+    all buckets, two at most each, are windowed once more by the key alone. All
+    other rows are complete. Both parts read one shuffle of the rows, and as
+    windows group NULL keys like any other, nothing is joined. Exact as long as
+    ``bucket`` grows with the first ordering column. Rows equal in ``oldest_by``
+    are ordered by their other columns.
+
+    ``earlier`` holds at most one row per key from before all of ``df``, with the
+    same columns. It serves as a predecessor only and is not part of the result.
     """
     sources = list(dict.fromkeys(previous.values()))
     values = F.struct(*[F.col(c) for c in sources])
-    rows = df.withColumn("_bucket", bucket)
-
-    inside = Window.partitionBy(key, "_bucket").orderBy(*_oldest_first(oldest_by))
-    stepped = rows.withColumn("_before", F.lag(values).over(inside))
-
-    closing = latest(
-        rows.select(key, "_bucket", *dict.fromkeys([*oldest_by, *sources])), [key, "_bucket"], oldest_by
-    ).select(F.col(key).alias("_key"), F.col("_bucket").alias("_close"), values.alias("_last"))
+    # Both parts number the rows for themselves: all columns decide, so that they
+    # agree on which of two rows of one time comes first.
+    unsorted = (T.MapType, T.VariantType)
+    others = [f.name for f in df.schema.fields if f.name not in oldest_by and not isinstance(f.dataType, unsorted)]
+    order = _oldest_first([*oldest_by, *others])
+
+    inside = Window.partitionBy(key, "_bucket").orderBy(*order)
+    stepped = df.withColumn("_bucket", bucket).select(
+        *df.columns,
+        F.lag(values).over(inside).alias("_before"),
+        F.lead(F.lit(True), 1, False).over(inside).alias("_followed"),
+        F.row_number().over(inside).alias("_place"),
+    )
+    first = F.col("_place") == 1
+    edge = first | ~F.col("_followed")
+
+    edges = stepped.where(edge).withColumns({"_values": values, "_late": F.lit(True)})
     if earlier is not None:
-        closing = closing.unionByName(
-            earlier.select(F.col(key).alias("_key"), bucket.alias("_close"), values.alias("_last"))
-        )
-    across = Window.partitionBy("_key").orderBy(F.col("_close").asc_nulls_first())
-    carried = closing.select("_key", "_close", F.lag("_last").over(across).alias("_carried"))
-
-    same = F.col(key).eqNullSafe(F.col("_key")) & F.col("_bucket").eqNullSafe(F.col("_close"))
-    merged = stepped.join(carried, same, "left")
-    before = F.coalesce(F.col("_before"), F.col("_carried"))
-    return merged.withColumns(
-        {new: F.coalesce(before[old], F.col(old)) for new, old in previous.items()}
-    ).drop("_bucket", "_before", "_key", "_close", "_carried")
+        closing = earlier.select(*df.columns, values.alias("_values"), F.lit(False).alias("_late"))
+        edges = edges.unionByName(closing, allowMissingColumns=True)
+    across = Window.partitionBy(key).orderBy("_late", *order)
+    carried = edges.withColumn("_carried", F.lag("_values").over(across)).where(F.col("_late"))
+    carried = carried.withColumn("_before", F.when(first, F.col("_carried")).otherwise(F.col("_before")))
+
+    complete = stepped.where(~edge).select(*df.columns, "_before")
+    stepped = complete.unionByName(carried.select(*df.columns, "_before"))
+    return stepped.withColumns({new: F.coalesce(F.col("_before")[old], F.col(old)) for new, old in previous.items()}).drop(
+        "_before"
+    )

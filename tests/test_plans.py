@@ -42,6 +42,10 @@ def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+def scans_of(text):
+    return [line for line in text.splitlines() if "FileScan" in line]
+
+
 @pytest.fixture
 def no_broadcast(spark):
     """Plans as for tables too large to broadcast, partitions left as they are."""
@@ -81,7 +85,7 @@ def test_payment_windows_reach_the_scan(stored):
 
 def test_paid_amount_reads_the_year_and_one_column_of_the_history(stored):
     text = plan(f.paid_last_year(stored, AS_OF))
-    scans = [line for line in text.splitlines() if "FileScan" in line]
+    scans = scans_of(text)
     columns = [{part.split(":")[0] for part in re.search(r"ReadSchema: struct<([^>]*)>", scan).group(1).split(",")} for scan in scans]
     assert columns == [{"creditor_id", "amount_gbp", "is_paid", "charge_date"}, {"creditor_id"}]
     assert "GreaterThanOrEqual(charge_date" in scans[0] and "LessThan" in scans[0]
@@ -122,12 +126,18 @@ def test_chargebacks_read_payments_once(stored):
     assert "staged-" in plan(result)
 
 
-def test_score_history_is_shuffled_as_one_row_per_creditor(stored):
-    text = plan(f.failure_score_change(stored, AS_OF))
-    assert text.count("FileScan") == 3
-    history = [line for line in text.splitlines() if "FileScan" in line and "LessThan(retrieved_at" in line
-               and "GreaterThanOrEqual(retrieved_at" not in line]
-    assert len(history) == 1
+def test_score_change_scans_twice_and_comes_partitioned_by_creditor(stored, no_broadcast):
+    change = f.failure_score_change(stored, AS_OF)
+    change.collect()
+    text = plan(change).split("Initial Plan")[0]
+    # yesterday's rows (used twice), history as one row per creditor, bucket borders, the result
+    assert text.count("FileScan") == 2 and text.count("ReusedExchange") == 1
+    assert text.count("- Exchange hashpartitioning") == 4
+    assert "Join" not in text and text.count("WindowGroupLimit") == 2
+    merged = plan(f.latest_exposure(stored).join(change, "creditor_id", "left"))
+    # one more shuffle, that of the exposures
+    assert merged.count("Exchange hashpartitioning(creditor_id") == plan(f.failure_score_change(stored, AS_OF)).count(
+        "Exchange hashpartitioning(creditor_id") + 1
 
 
 def test_due_reviews_are_decided_before_facts_are_read(stored, no_broadcast):
@@ -226,6 +236,10 @@ def test_bucketed_lag_equals_one_window(spark, seed, hot):
     df = spark.createDataFrame(history(seed, hot), "n int, k string, ts timestamp, v int")
     window = Window.partitionBy("k").orderBy(F.col("ts").asc_nulls_first(), F.col("n").asc_nulls_first())
     plain = df.withColumn("p", F.coalesce(F.lag("v").over(window), F.col("v")))
+    # All columns decide ties, so equal times cannot lose or repeat a row.
+    twins = spark.createDataFrame([(k, "hot", datetime(2024, 1, 1), k % 7) for k in range(500)], df.schema)
+    stepped = with_previous(twins, "k", ["ts"], {"p": "v"}, F.date_trunc("hour", "ts"))
+    assert sorted(r["n"] for r in stepped.repartition(9).collect()) == list(range(500))
     for unit in ("hour", "day", "year"):
         bucketed = with_previous(df, "k", ["ts", "n"], {"p": "v"}, F.date_trunc(unit, "ts"))
         assert sorted(bucketed.select("n", "p").collect(), key=str) == sorted(plain.select("n", "p").collect(), key=str)
