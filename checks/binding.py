@@ -8,11 +8,17 @@ moved back by whole days so that all tables share one run date.
 
 from __future__ import annotations
 
-from datetime import date
+import tempfile
+import uuid
+from datetime import date, timedelta
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from riskwatch.operators.staging import shared_folder
+from riskwatch.sources.payment_events import write_payment_events
+from riskwatch.sources.seen import refresh_seen
 from riskwatch.sources.tables import Sources
 
 AS_OF = date(2001, 8, 2)
@@ -227,3 +233,26 @@ def sources(spark: SparkSession, sf_dir: str) -> Sources:
         "ticket_org": over(ticket_org, "customer"),
         "result_log": over(result_log, "events"),
     })
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder for a kept table: in the shared one, or where none is set locally."""
+    parent = shared_folder(spark) or tempfile.mkdtemp(prefix="riskwatch-")
+    return f"{parent}/{name}-{uuid.uuid4().hex}"
+
+
+def with_seen(spark: SparkSession, sf_dir: str) -> Sources:
+    """Sources with a kept table of paying creditors: built ten days ago from the
+    payments of then, brought up to date today."""
+    tables, path = sources(spark, sf_dir), scratch(spark, "seen")
+    before = AS_OF - timedelta(days=10)
+    payments = tables.table("payment")
+    refresh_seen(spark, tables.replace(payment=payments.where(F.col("charge_date") < F.lit(before))), path, before)
+    return refresh_seen(spark, tables, path, AS_OF)
+
+
+def with_events(spark: SparkSession, sf_dir: str) -> Sources:
+    """Sources with payments stored by event date."""
+    tables, path = sources(spark, sf_dir), scratch(spark, "events")
+    write_payment_events(tables, path, AS_OF)
+    return tables.replace(payment_event=spark.read.parquet(path))

@@ -7,7 +7,7 @@ from datetime import date
 from pyspark.sql import functions as F
 
 from checks import ctes as x
-from checks.binding import AS_OF, sources
+from checks.binding import AS_OF, sources, with_events, with_seen
 from checks.registry import check
 from riskwatch import config as c
 from riskwatch.plans import features as f
@@ -75,18 +75,31 @@ def fea8(spark, sf):
     return f.payment_rates(f.payment_window_metrics(sources(spark, sf), AS_OF))
 
 
+@check("fea7_events", x.query(
+    "SELECT * FROM payment_metrics", "", "future_payments_7days merchant_payment_amt_gbp_last_365d"))
+def fea7_events(spark, sf):
+    """From payments stored by event date."""
+    return f.payment_window_metrics(with_events(spark, sf), AS_OF)
+
+
 @check("fea9", x.query("SELECT * FROM paid_last_year", "", "merchant_payment_amt_gbp_last_365d"))
 def fea9(spark, sf):
     return f.paid_last_year(sources(spark, sf), AS_OF)
 
 
-@check("fea10", x.query("""
+@check("fea9_seen", x.query("SELECT * FROM paid_last_year", "", "merchant_payment_amt_gbp_last_365d"))
+def fea9_seen(spark, sf):
+    """With the kept table of paying creditors."""
+    return f.paid_last_year(with_seen(spark, sf), AS_OF)
+
+
+PEER_RATES = x.query("""
     SELECT creditor_id, merchant_category_code, mcc_chargeback_vol_last_12m, mcc_chargeback_rate_vol_last_12m,
            portfolio_chargeback_vol_last_12m, portfolio_chargeback_rate_vol_last_12m, reference_cb_rate
-    FROM merged_chargeback"""))
-def fea10(spark, sf):
-    """Category, portfolio and fallback rate for every merchant."""
-    tables = sources(spark, sf)
+    FROM merged_chargeback""")
+
+
+def _peer_rates(tables):
     _, categories = f.peer_totals(tables, AS_OF)
     rows = f.peer_reference_rate(f.creditor_details(tables), categories, CHARGEBACK.min_peer_chargebacks)
     return rows.select(
@@ -96,6 +109,24 @@ def fea10(spark, sf):
     )
 
 
+@check("fea10", PEER_RATES)
+def fea10(spark, sf):
+    """Category, portfolio and fallback rate for every merchant."""
+    return _peer_rates(sources(spark, sf))
+
+
+@check("fea10_seen", PEER_RATES)
+def fea10_seen(spark, sf):
+    """Idle categories by the kept table of paying creditors."""
+    return _peer_rates(with_seen(spark, sf))
+
+
+@check("fea10_events", PEER_RATES)
+def fea10_events(spark, sf):
+    """From payments stored by event date."""
+    return _peer_rates(with_events(spark, sf))
+
+
 @check("fea11", x.query("SELECT * FROM chargeback_history", "chargeback_monitoring_date_last"))
 def fea11(spark, sf):
     return f.last_alert(

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 from dataclasses import dataclass
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -38,23 +39,25 @@ class Metric:
         return F.sum(F.when(hit, money(F.col(self.amount))).otherwise(nothing)).alias(self.name)
 
 
+def widest_windows(metrics: Iterable[Metric]) -> dict[str, tuple[int, int]]:
+    """For each date column the days in which some trailing, flagged metric can count."""
+    widest: dict[str, tuple[int, int]] = {}
+    for m in metrics:
+        if m.flag is not None and m.last < 0:
+            widest[m.when] = (min(m.first, widest.get(m.when, (m.first, -1))[0]), -1)
+    if not widest:
+        raise ValueError("no trailing metric to filter by")
+    return widest
+
+
 def any_window(metrics: Iterable[Metric], as_of: date) -> Column:
     """Rows that can count in some trailing, flagged metric.
 
     One range per date column, as wide as its widest metric; Catalyst pushes
     the disjunction of ranges into the scan.
     """
-    widest: dict[str, int] = {}
-    for m in metrics:
-        if m.flag is not None and m.last < 0:
-            widest[m.when] = min(m.first, widest.get(m.when, m.first))
-    if not widest:
-        raise ValueError("no trailing metric to filter by")
-    condition: Column | None = None
-    for when, first in widest.items():
-        inside = within_days(F.col(when), as_of, first, -1)
-        condition = inside if condition is None else condition | inside
-    return condition
+    ranges = [within_days(F.col(when), as_of, *days) for when, days in widest_windows(metrics).items()]
+    return reduce(Column.__or__, ranges)
 
 
 def pivot_fields(

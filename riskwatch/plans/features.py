@@ -13,7 +13,8 @@ from riskwatch.operators.joins import attach_one_row, spread_lookup
 from riskwatch.operators.metrics import Metric, any_window, pivot_fields, titled
 from riskwatch.operators.rows import latest, with_previous
 from riskwatch.operators.rules import managed_label, reference_rate
-from riskwatch.operators.staging import stage
+from riskwatch.operators.staging import shared_folder, stage
+from riskwatch.sources.payment_events import payments_let_in
 from riskwatch.sources.result_log import log_field, read_results
 from riskwatch.sources.tables import Sources
 
@@ -129,7 +130,8 @@ def failure_score_change(sources: Sources, as_of: date) -> DataFrame:
 
     A report's predecessor is either another one of yesterday or the newest
     earlier one, so history is cut to one row per creditor and only yesterday's
-    rows are ordered. Reports are not deduplicated.
+    rows are ordered. Reports are not deduplicated. The result is partitioned by
+    creditor, as the merge needs it.
     """
     reports = _scored_reports(sources)
     yesterday = s.as_of_date(as_of, -1)
@@ -147,7 +149,8 @@ def failure_score_change(sources: Sources, as_of: date) -> DataFrame:
         earlier=latest(reports.where(retrieved_on < yesterday), ["creditor_id"], order),
     )
     change = F.col("db_failure_score_current") - F.col("db_failure_score_last")
-    return stepped.withColumn("db_failure_score_change", change).drop("retrieved_at")
+    stepped = stepped.withColumn("db_failure_score_change", change).drop("retrieved_at")
+    return stepped.repartition("creditor_id")
 
 
 def latest_default_probability(sources: Sources) -> DataFrame:
@@ -226,8 +229,7 @@ def payment_window_metrics(sources: Sources, as_of: date) -> DataFrame:
     """
     age = _charge_age(as_of)
     return (
-        sources.table("payment")
-        .where(any_window(TRAILING, as_of))
+        payments_let_in(sources, TRAILING, as_of)
         .groupBy("creditor_id")
         .agg(
             NEXT_WEEK.column(as_of),
@@ -246,8 +248,7 @@ def payment_activity(sources: Sources, as_of: date) -> DataFrame:
     """
     inside = F.coalesce(any_window(TRAILING, as_of), F.lit(False))
     return (
-        sources.table("payment")
-        .where(any_window((*TRAILING, *YEAR), as_of))
+        payments_let_in(sources, (*TRAILING, *YEAR), as_of)
         .groupBy("creditor_id")
         .agg(
             F.sum(F.when(inside, F.lit(1)).otherwise(F.lit(0))).alias("rows_in_window"),
@@ -272,17 +273,27 @@ def payment_rates(metrics: DataFrame) -> DataFrame:
     )
 
 
+def ever_paying(sources: Sources) -> DataFrame:
+    """Creditors with a payment at any time, possibly repeated.
+
+    The kept table where the sources have one, else one column of the history.
+    """
+    name = "seen_creditor" if sources.has("seen_creditor") else "payment"
+    return sources.table(name).select("creditor_id")
+
+
 def paid_last_year(sources: Sources, as_of: date) -> DataFrame:
     """Paid amount of the year per creditor; creditors without any keep a 0.
 
-    The sum reads the year's charge dates only. That an older creditor exists is
-    looked up in one column of the history.
+    The sum reads the year's charge dates only. That an older creditor exists
+    comes from ``ever_paying``.
     """
-    payments, name = sources.table("payment"), PAID_LAST_YEAR.name
+    name = PAID_LAST_YEAR.name
+    payments = payments_let_in(sources, (PAID_LAST_YEAR,), as_of)
     year = payments.where(PAID_LAST_YEAR.matches(as_of)).select(
         "creditor_id", s.money(F.col(PAID_LAST_YEAR.amount)).alias(name)
     )
-    ever = payments.select("creditor_id", s.money(F.lit(0)).alias(name))
+    ever = ever_paying(sources).withColumn(name, s.money(F.lit(0)))
     return year.unionByName(ever).groupBy("creditor_id").agg(F.sum(name).alias(name))
 
 
@@ -319,16 +330,19 @@ def category_totals(activity: DataFrame, sources: Sources) -> DataFrame:
 def with_idle_categories(active: DataFrame, sources: Sources) -> DataFrame:
     """Adds categories whose payments are all older than the year, as zeros.
 
-    Only creditors of categories not seen yet are looked up in the payments'
-    history, in one column of it. The history is reduced to its creditors before
-    it is joined, so a creditor with a third of the payments is one row per task.
+    Only creditors of categories not seen yet are looked up in ``ever_paying``,
+    which is joined as one row a creditor, so a creditor with a third of the
+    payments is one row per task. Where tables are staged it is known whether
+    there are such creditors, and nothing is looked up without any.
     """
     code = "merchant_category_code"
     seen = active.select(F.col(code).alias("_seen"))
     members = _category_members(sources)
     unseen = stage(members.join(seen, F.col(code).eqNullSafe(F.col("_seen")), "left_anti"))
-    paid = sources.table("payment").select("creditor_id").distinct()
-    idle = unseen.join(paid, "creditor_id", "left_semi").select(code).distinct()
+    if shared_folder(unseen.sparkSession) is not None and unseen.isEmpty():
+        return active
+    paying = ever_paying(sources).distinct()
+    idle = unseen.join(paying, "creditor_id", "left_semi").select(code).distinct()
     blank = {
         field.name: F.lit(None if "rate" in field.name else 0).cast(field.dataType)
         for field in active.schema.fields

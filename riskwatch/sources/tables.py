@@ -46,6 +46,12 @@ COLUMNS: dict[str, tuple[str, ...]] = {
 }
 
 
+# Tables derived from others, which a deployment may keep to spare reads.
+OPTIONAL: dict[str, tuple[str, ...]] = {
+    "seen_creditor": ("creditor_id",),
+    "payment_event": (*COLUMNS["payment"], "event", "event_date"),
+}
+
 # Fact tables keyed by creditor, and the column that holds it.
 CREDITOR_KEYS = {
     "exposure": "creditor_id",
@@ -53,6 +59,8 @@ CREDITOR_KEYS = {
     "default_prediction": "creditor_id",
     "daily_balance": "owner_id",
     "payment": "creditor_id",
+    "seen_creditor": "creditor_id",
+    "payment_event": "creditor_id",
 }
 
 Table = DataFrame | Callable[[], DataFrame]
@@ -68,7 +76,7 @@ class Sources:
     """
 
     def __init__(self, tables: Mapping[str, Table]):
-        unknown = sorted(set(tables) - set(COLUMNS))
+        unknown = sorted(set(tables) - set(COLUMNS) - set(OPTIONAL))
         if unknown:
             raise ValueError(f"unknown logical tables: {unknown}")
         self._tables = dict(tables)
@@ -83,6 +91,9 @@ class Sources:
         """Logical name -> catalog table (fully or partly qualified)."""
         return cls({name: partial(spark.table, table) for name, table in names.items()})
 
+    def has(self, name: str) -> bool:
+        return name in self._tables
+
     def table(self, name: str) -> DataFrame:
         if name not in self._tables:
             raise KeyError(f"no table bound for {name!r}")
@@ -90,7 +101,7 @@ class Sources:
         if not isinstance(df, DataFrame):
             df = self._tables[name] = df()
         present = {c.lower() for c in df.columns}
-        missing = [c for c in COLUMNS[name] if c.lower() not in present]
+        missing = [c for c in (COLUMNS | OPTIONAL)[name] if c.lower() not in present]
         if missing:
             raise ValueError(f"table {name!r} lacks columns {missing}")
         return df
@@ -105,4 +116,5 @@ class Sources:
         def filtered(name: str, key: str) -> DataFrame:
             return rows_of(self.table(name), creditors.select(F.col("creditor_id").alias(key)), key)
 
-        return self.replace(**{n: partial(filtered, n, key) for n, key in CREDITOR_KEYS.items()})
+        keyed = {n: key for n, key in CREDITOR_KEYS.items() if n in COLUMNS or self.has(n)}
+        return self.replace(**{n: partial(filtered, n, key) for n, key in keyed.items()})
