@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from riskwatch.operators.staging import stage
+
+
 def star_merge(base: DataFrame, features: Iterable[DataFrame], on: str) -> DataFrame:
     """Left-joins features of one key onto the base.
 
@@ -39,6 +42,62 @@ def spread_lookup(
     return left.join(right, [on, "_slot"], "left").drop("_slot")
 
 
+def _slices(count: Column, cell: int) -> Column:
+    return F.ceil(count / F.lit(cell)).cast("int")
+
+
+def hot_cells(left: DataFrame, right: DataFrame, on: str, cell: int) -> DataFrame:
+    """Keys with more than ``cell`` rows on a side, and into how many slices each
+    side is cut. One row in ``cell`` at most, and counted partly in each task."""
+    ours = left.groupBy(on).agg(F.count(F.lit(1)).alias("_ours"))
+    theirs = right.groupBy(on).agg(F.count(F.lit(1)).alias("_theirs"))
+    both = ours.join(theirs, on).where((F.col("_ours") > cell) | (F.col("_theirs") > cell))
+    return both.select(on, _slices(F.col("_ours"), cell).alias("_rows"), _slices(F.col("_theirs"), cell).alias("_columns"))
+
+
+def many_to_many(
+    left: DataFrame,
+    right: DataFrame,
+    on: str,
+    left_by: str,
+    right_by: str,
+    how: str = "left",
+    cell: int = 2_000,
+    counted: DataFrame | None = None,
+) -> DataFrame:
+    """Left or inner join on a key that may be hot on both sides.
+
+    All pairs of a key are wanted, so a key hot on both sides is a rectangle that
+    one task cannot make. It is cut into cells: the left side into slices by
+    ``left_by``, the right side by ``right_by``, each slice repeated for the other
+    side's slices. A cell has about ``cell`` rows of each side and goes where its
+    three keys hash to. Keys that are not hot are one cell and are not repeated;
+    rows without a key are spread, as they match nothing.
+
+    ``counted`` has the left side's keys as often as ``left`` does, where that is
+    cheaper to count.
+    """
+    hot = stage(hot_cells(left if counted is None else counted, right, on, cell))
+    ours = spread_lookup(left, hot, on, left_by)
+    theirs = spread_lookup(right.where(F.col(on).isNotNull()), hot, on, right_by)
+
+    def slice_of(by: str, slices: str, without_key: int = 1) -> Column:
+        n = F.when(F.col(on).isNull(), F.lit(without_key)).otherwise(F.coalesce(F.col(slices), F.lit(1)))
+        return F.pmod(F.xxhash64(by), n).cast("int")
+
+    def repeated(slices: str) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.coalesce(F.col(slices), F.lit(1)) - 1))
+
+    ours = ours.select("*", slice_of(left_by, "_rows", 64).alias("_row"), repeated("_columns").alias("_column"))
+    ours = ours.withColumn("_hot", F.col("_rows").isNotNull()).drop("_rows", "_columns")
+    theirs = theirs.select("*", slice_of(right_by, "_columns").alias("_column"), repeated("_rows").alias("_row"))
+    theirs = theirs.withColumn("_there", F.lit(True)).drop("_rows", "_columns")
+    joined = ours.join(theirs, [on, "_row", "_column"], how)
+    # A hot key has rows on both sides: a copy that met an empty slice is no row.
+    found = F.coalesce(F.col("_there"), F.lit(False)) | ~F.col("_hot")
+    return joined.where(found).drop("_row", "_column", "_hot", "_there")
+
+
 def attach_one_row(rows: DataFrame, single: DataFrame, on: str) -> DataFrame:
     """Left join to a global aggregate through a constant key.
 

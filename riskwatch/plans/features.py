@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskwatch import config as c
@@ -21,6 +21,33 @@ from riskwatch.sources.tables import Sources
 # --- Merchants --------------------------------------------------------------
 
 
+def _creditors(
+    sources: Sources,
+    exclude_payment_providers: bool = True,
+    label_since: date | None = None,
+    creditor_ids: tuple[str, ...] | None = None,
+) -> DataFrame:
+    creditor = sources.table("creditor")
+    if exclude_payment_providers:
+        creditor = creditor.where(~F.col("is_payment_provider"))
+    if label_since is not None:
+        creditor = creditor.where(s.day(F.col("most_recent_risk_label_created_at")) >= F.lit(label_since))
+    if creditor_ids is not None:
+        creditor = creditor.where(F.col("id").isin(*creditor_ids))
+    return creditor
+
+
+def insolvent() -> Column:
+    return s.in_set(F.col("creditor_risk_label_detail"), c.INSOLVENCY_LABELS).alias("insolvency_flag")
+
+
+def creditor_flags(sources: Sources, creditor_ids: tuple[str, ...] | None = None) -> DataFrame:
+    """What of a creditor decides alerts: few columns, and no organisation."""
+    return _creditors(sources, creditor_ids=creditor_ids).select(
+        F.col("id").alias("creditor_id"), "merchant_category_code", insolvent(), F.lit(1).alias("var1")
+    )
+
+
 def creditor_details(
     sources: Sources,
     require_active: bool = False,
@@ -36,14 +63,8 @@ def creditor_details(
     flag and stage) or None. A predicate on an organisation column drops
     creditors without one, so those left joins run as inner joins.
     """
-    creditor = sources.table("creditor")
-    if exclude_payment_providers:
-        creditor = creditor.where(~F.col("is_payment_provider"))
-    if label_since is not None:
-        creditor = creditor.where(s.day(F.col("most_recent_risk_label_created_at")) >= F.lit(label_since))
-    if creditor_ids is not None:
-        creditor = creditor.where(F.col("id").isin(*creditor_ids))
-
+    creditor = _creditors(sources, exclude_payment_providers, label_since, creditor_ids)
+    creditor = creditor.withColumn("insolvency_flag", insolvent())
     organisation = sources.table("organisation")
     joined = creditor.alias("a").join(
         organisation.alias("b"), F.col("a.organisation_id") == F.col("b.organisation_id"), "left"
@@ -62,7 +83,6 @@ def creditor_details(
             ).alias("is_cs_managed")
         ],
     }[managed]
-    label = F.col("a.creditor_risk_label_detail")
     return joined.select(
         F.col("a.id").alias("creditor_id"),
         F.col("a.organisation_id"),
@@ -71,9 +91,9 @@ def creditor_details(
         F.col("a.merchant_category_code"),
         F.col("a.merchant_category_code_description"),
         F.col("a.creditor_risk_label_parent").alias("merchant_risk_label"),
-        label.alias("merchant_risk_label_description"),
+        F.col("a.creditor_risk_label_detail").alias("merchant_risk_label_description"),
         F.col("a.most_recent_risk_label_created_at"),
-        s.in_set(label, c.INSOLVENCY_LABELS).alias("insolvency_flag"),
+        F.col("a.insolvency_flag"),
         F.col("a.creditor_created_date"),
         F.col("a.is_account_closed"),
         F.col("a.is_payment_provider"),
@@ -301,11 +321,7 @@ def paid_last_year(sources: Sources, as_of: date) -> DataFrame:
 
 
 def _category_members(sources: Sources) -> DataFrame:
-    return (
-        sources.table("creditor")
-        .where(~F.col("is_payment_provider"))
-        .select(F.col("id").alias("creditor_id"), "merchant_category_code")
-    )
+    return creditor_flags(sources).select("creditor_id", "merchant_category_code")
 
 
 def category_totals(activity: DataFrame, sources: Sources) -> DataFrame:

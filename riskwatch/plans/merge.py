@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from riskwatch import config as c
 from riskwatch.functions.scalars import day, negative_part, strict_double
-from riskwatch.operators.joins import star_merge
+from riskwatch.operators.joins import many_to_many, star_merge
 from riskwatch.operators.staging import shared_folder, stage
 from riskwatch.plans import features as f
 from riskwatch.sources.tables import Sources
@@ -44,7 +44,7 @@ def label_day() -> Column:
     return day(F.col(name)).alias(name)
 
 
-def _decided(base: DataFrame, keep: Column | None, sources: Sources) -> tuple[DataFrame, Sources]:
+def _staged(kept: DataFrame, sources: Sources) -> tuple[DataFrame, Sources]:
     """The kept rows, and sources reduced to their creditors.
 
     Staged rows are a table of known size, and the facts are semi-joined with
@@ -52,23 +52,32 @@ def _decided(base: DataFrame, keep: Column | None, sources: Sources) -> tuple[Da
     rows again for each fact table, so there the facts are used as they are; the
     later left joins give the same rows.
     """
-    if keep is None:
-        return base, sources
-    kept = stage(base.where(keep))
+    kept = stage(kept)
     staged = shared_folder(kept.sparkSession) is not None
     return kept, sources.of_creditors(kept) if staged else sources
 
 
+def _decided(base: DataFrame, keep: Column | None, sources: Sources) -> tuple[DataFrame, Sources]:
+    """The rows that ``keep`` keeps, if it is given, as ``_staged`` does."""
+    return (base, sources) if keep is None else _staged(base.where(keep), sources)
+
+
 def score_drop(
     sources: Sources,
     as_of: date,
     creditor_ids: tuple[str, ...] | None = None,
     keep: Column | None = None,
+    exclude_insolvent: bool = False,
 ) -> DataFrame:
-    """``keep`` may use the merchant's and the score columns."""
-    details = f.creditor_details(sources, require_active=True, managed="derived", creditor_ids=creditor_ids)
-    scored = details.join(f.failure_score_change(sources, as_of), "creditor_id", "left")
-    base, reduced = _decided(scored, keep, sources)
+    """``keep`` may use the score columns; merchants are read for kept scores only."""
+    change, reduced, how = f.failure_score_change(sources, as_of), sources, "left"
+    if keep is not None:
+        change, reduced = _staged(change.where(keep), sources)
+        how = "inner"
+    details = f.creditor_details(reduced, require_active=True, managed="derived", creditor_ids=creditor_ids)
+    if exclude_insolvent:
+        details = details.where(~F.col("insolvency_flag"))
+    base = details.join(change, "creditor_id", how)
     merged = star_merge(
         base,
         [f.latest_exposure(reduced), f.yesterday_balance(reduced, as_of), f.paid_last_year(reduced, as_of)],
@@ -97,16 +106,30 @@ def chargeback(
     the creditor's own rates and, rolled up, for the reference rates.
 
     Category totals are staged as well: two relations read them, and their
-    known size decides how they are joined. They meet the narrow merchant rows
-    before the wide merge. ``keep`` may use the merchant's columns, the rates
-    and the history.
+    known size decides how they are joined. With ``keep``, which may use the
+    rates and the history, merchants are decided as narrow rows, and their other
+    columns are read for kept ones only.
     """
     activity, categories = f.peer_totals(sources, as_of, idle)
-    details = f.creditor_details(sources, creditor_ids=params.creditor_ids)
-    base = f.peer_reference_rate(details, categories, params.min_peer_chargebacks)
     history = f.last_alert(sources, as_of, c.PROCESS_CHARGEBACK, "cb_rate_30days", f.CHARGEBACK_HISTORY)
     rates = f.payment_rates(f.windowed_part(activity))
-    base, reduced = _decided(star_merge(base, [rates, history], "creditor_id"), keep, sources)
+
+    def judged(merchants: DataFrame) -> DataFrame:
+        compared = f.peer_reference_rate(merchants, categories, params.min_peer_chargebacks)
+        return star_merge(compared, [rates, history], "creditor_id")
+
+    if keep is None:
+        base, reduced = judged(f.creditor_details(sources, creditor_ids=params.creditor_ids)), sources
+    else:
+        narrow = f.creditor_flags(sources, params.creditor_ids).drop("insolvency_flag")
+        key = ["creditor_id", "merchant_category_code"]
+        # All columns follow from these two, so a repeated creditor is one row here.
+        decided, reduced = _staged(judged(narrow).where(keep).dropDuplicates(key), sources)
+        decided = decided.drop("var1").withColumnRenamed("merchant_category_code", "_category")
+        same = F.col("merchant_category_code").eqNullSafe(F.col("_category"))
+        details = f.creditor_details(reduced, creditor_ids=params.creditor_ids)
+        base = details.join(decided.withColumnRenamed("creditor_id", "_creditor"),
+                            (F.col("creditor_id") == F.col("_creditor")) & same)
     merged = star_merge(
         base,
         [
@@ -171,15 +194,28 @@ def _standard_columns(with_last_payment: bool) -> list:
 
 
 def negative_balance(
-    sources: Sources, as_of: date, creditor_ids: tuple[str, ...] | None = None
+    sources: Sources,
+    as_of: date,
+    creditor_ids: tuple[str, ...] | None = None,
+    keep: Column | None = None,
 ) -> DataFrame:
-    """Every merchant is in the result, so nothing is decided beforehand."""
-    details = f.creditor_details(sources, creditor_ids=creditor_ids)
-    history = f.last_alert(
-        sources, as_of, c.PROCESS_NEGATIVE_BALANCE, "nb_balance_current", f.BALANCE_HISTORY
-    )
-    base = star_merge(details, [rounded_exposure(sources)], "creditor_id")
-    merged = star_merge(_standard(base, sources, as_of), [history], "creditor_id")
+    """``keep`` may use the insolvency flag, the balance and the history. Without
+    it every merchant is in the result and nothing is decided beforehand."""
+
+    def history(tables: Sources) -> DataFrame:
+        return f.last_alert(tables, as_of, c.PROCESS_NEGATIVE_BALANCE, "nb_balance_current", f.BALANCE_HISTORY)
+
+    reduced = sources
+    if keep is not None:
+        facts = [f.yesterday_balance(sources, as_of), history(sources)]
+        narrow = star_merge(f.creditor_flags(sources, creditor_ids), facts, "creditor_id")
+        decided = narrow.select("*", balance_now()).where(keep).select("creditor_id").distinct()
+        kept, reduced = _staged(decided, sources)
+    details = f.creditor_details(reduced, creditor_ids=creditor_ids)
+    if keep is not None:
+        details = details.join(kept, "creditor_id", "left_semi")
+    base = star_merge(details, [rounded_exposure(reduced)], "creditor_id")
+    merged = star_merge(_standard(base, reduced, as_of), [history(reduced)], "creditor_id")
     return merged.select(
         *_standard_columns(with_last_payment=True),
         "ticket_id",
@@ -221,13 +257,27 @@ def re_review(
 ) -> DataFrame:
     """One row per creditor and review ticket of its organisation.
 
-    ``keep`` may use the merchant's and the ticket's columns.
+    ``keep`` may use the ticket's columns. Facts are joined while a creditor is
+    one row; the tickets multiply the rows last, and an organisation with many
+    creditors and many tickets is cut into cells.
     """
-    details = f.creditor_details(sources, creditor_ids=creditor_ids)
     tickets = f.ticket_review_dates(sources).drop("subject").withColumnRenamed("created_at", "ticket_created_at")
-    base, reduced = _decided(details.join(tickets, "organisation_id", "left"), keep, sources)
-    base = star_merge(base, [rounded_exposure(reduced)], "creditor_id")
-    return _standard(base, reduced, as_of).select(
+    tickets = stage(tickets if keep is None else tickets.where(keep))
+    base, reduced = f.creditor_details(sources, creditor_ids=creditor_ids), sources
+    if keep is not None:
+        owners = tickets.select("organisation_id").distinct()
+        base, reduced = _staged(base.join(owners, "organisation_id", "left_semi"), sources)
+    merged = star_merge(base, [rounded_exposure(reduced)], "creditor_id")
+    merged = many_to_many(
+        _standard(merged, reduced, as_of),
+        tickets,
+        "organisation_id",
+        left_by="creditor_id",
+        right_by="ticket_id",
+        how="left" if keep is None else "inner",
+        counted=base,
+    )
+    return merged.select(
         *_standard_columns(with_last_payment=False),
         "ticket_id",
         "ticket_created_at",

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from datetime import date, timedelta
+from functools import reduce
 from typing import Any
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskwatch import config as c
@@ -25,9 +26,7 @@ def score_drop(sources: Sources, as_of: date, params=c.ScoreDropParams(), settin
     keep = F.col("db_failure_score_current_date") == F.date_sub(F.lit(as_of), 1)
     if params.only_alerts:
         keep &= alert == c.NEW_ALERT
-    if params.exclude_insolvent:
-        keep &= ~F.col("insolvency_flag")
-    rows = merge.score_drop(sources, as_of, params.creditor_ids, keep).withColumns({
+    rows = merge.score_drop(sources, as_of, params.creditor_ids, keep, params.exclude_insolvent).withColumns({
         "merchant_monitoring_qualifyer": rules.qualifies(params.qualifier),
         "failure_score_monitoring_alert": alert,
     })
@@ -61,19 +60,24 @@ def negative_balance(
 ) -> DataFrame:
     """Merchants with a new, doubled or deepened negative balance."""
     now, before = F.col("nb_balance_current"), F.col("nb_balance_prev")
-    rows = merge.negative_balance(sources, as_of, params.creditor_ids)
+    alert = rules.negative_balance_alert(params)
+    conditions = []
     if params.max_balance is not None:
-        rows = rows.where(now <= params.max_balance)
+        conditions.append(now <= params.max_balance)
     if params.exclude_insolvent:
-        rows = rows.where(~F.col("insolvency_flag"))
-    if params.max_last_payment_days is not None:
-        rows = rows.where(F.col("last_payment_days_ago") <= params.max_last_payment_days)
-    rows = rows.withColumns({
-        "nb_alert_type": rules.negative_balance_alert(params),
+        conditions.append(~F.col("insolvency_flag"))
+    if params.only_alerts:
+        conditions.append(alert != c.NO_ALERT)
+    keep = reduce(Column.__and__, conditions) if conditions else None
+    rows = merge.negative_balance(sources, as_of, params.creditor_ids, keep).withColumns({
+        "nb_alert_type": alert,
         "NB_Increase": safe_subtract(-now.cast("double"), -before),
     })
-    if params.only_alerts:
-        rows = rows.where(F.col("nb_alert_type") != c.NO_ALERT)
+    if keep is not None:
+        # A repeated creditor may be kept by one of its rows only.
+        rows = rows.where(keep)
+    if params.max_last_payment_days is not None:
+        rows = rows.where(F.col("last_payment_days_ago") <= params.max_last_payment_days)
     ticket = p.create_ticket(
         settings, p.negative_balance_body(settings), p.subject("Negative Balance"), params.category_tag
     )

@@ -52,8 +52,9 @@ OPTIONAL: dict[str, tuple[str, ...]] = {
     "payment_event": (*COLUMNS["payment"], "event", "event_date"),
 }
 
-# Fact tables keyed by creditor, and the column that holds it.
+# Tables keyed by creditor, and the column that holds it.
 CREDITOR_KEYS = {
+    "creditor": "id",
     "exposure": "creditor_id",
     "score_report": "creditor_id",
     "default_prediction": "creditor_id",
@@ -111,7 +112,7 @@ class Sources:
         return Sources({**self._tables, **tables})
 
     def of_creditors(self, creditors: DataFrame) -> Sources:
-        """The same sources with fact rows of the given few creditors only."""
+        """The same sources with creditors and facts of the given few creditors only."""
 
         def filtered(name: str, key: str) -> DataFrame:
             return rows_of(self.table(name), creditors.select(F.col("creditor_id").alias(key)), key)

@@ -13,7 +13,7 @@ from checks.features import CHARGEBACK, INSOLVENCY, RE_REVIEW, SCORE_DROP
 from riskwatch import PIPELINES, Sources, run
 from riskwatch import config as c
 from riskwatch.operators import staging
-from riskwatch.operators.joins import spread_lookup
+from riskwatch.operators.joins import hot_cells, many_to_many, spread_lookup
 from riskwatch.operators.rows import latest, with_previous
 from riskwatch.operators.staging import stage
 from riskwatch.plans import features as f
@@ -149,6 +149,26 @@ def test_due_reviews_are_decided_before_facts_are_read(stored, no_broadcast):
     assert payments.index("LeftSemi") < payments.index("FileScan")
 
 
+@pytest.mark.parametrize("name, params, deciding", [
+    (c.PROCESS_CHARGEBACK, CHARGEBACK, {"creditor", "result_log"}),
+    (c.PROCESS_NEGATIVE_BALANCE, c.NegativeBalanceParams(max_balance=-5, only_alerts=True), {"creditor", "daily_balance", "result_log"}),
+    (c.PROCESS_SCORE_DROP, SCORE_DROP, {"score_report"}),
+    (c.PROCESS_RE_REVIEW, RE_REVIEW, {"ticket", "ticket_field", "ticket_org"}),
+])
+def test_alerts_are_decided_on_few_columns(stored, no_broadcast, monkeypatch, name, params, deciding):
+    """What is staged first reads the deciding tables and no wide column; the rest
+    is read for the kept merchants."""
+    staged = []
+    monkeypatch.setattr(merge, "stage", lambda df: staged.append(plan(df)) or stage(df))
+    result = plan(run(name, stored, AS_OF, params))
+    tables = {t for t in SCHEMAS for scan in scans_of(staged[0]) if f"/{t}]" in scan}
+    assert tables == deciding
+    assert not any(column in staged[0] for column in ("merchant_name", "parent_account", "geo#", "current_state"))
+    facts = {"exposure", "payment"} if name == c.PROCESS_SCORE_DROP else {"exposure", "score_report", "default_prediction"}
+    assert facts <= {t for t in SCHEMAS for scan in scans_of(result) if f"/{t}]" in scan}
+    assert result.count("LeftSemi") >= len(facts) + 1
+
+
 @pytest.mark.parametrize("name", [
     c.PROCESS_SCORE_DROP, c.PROCESS_CHARGEBACK, c.PROCESS_SANCTIONED, c.PROCESS_RE_REVIEW, c.PROCESS_INSOLVENCY])
 def test_without_a_shared_folder_the_plan_stays_lazy(spark, monkeypatch, name):
@@ -217,6 +237,37 @@ def test_hot_organisation_is_split_at_run_time(spark, no_broadcast):
             spark.conf.unset(key)
 
 
+@pytest.mark.parametrize("how", ["left", "inner"])
+@pytest.mark.parametrize("cell", [1, 7, 100, 10_000])
+def test_many_to_many_equals_a_join(spark, how, cell):
+    pick = random.Random(cell)
+    keys = ["hot", "left only", "a", "b", None]
+    left = spark.createDataFrame([(k, pick.choice(keys + ["hot"] * 4)) for k in range(300)], "c int, o string")
+    right = spark.createDataFrame([(k, pick.choice(["hot", "hot", "a", "right only", None])) for k in range(90)], "t int, o string")
+    joined = many_to_many(left, right, "o", "c", "t", how, cell).select("c", "o", "t")
+    plain = left.join(right, "o", how).select("c", "o", "t")
+    assert sorted(joined.collect(), key=str) == sorted(plain.collect(), key=str)
+
+
+def test_an_organisation_hot_on_both_sides_is_cut_into_cells(spark, no_broadcast):
+    """A third of the creditors and a third of the tickets: no task makes it alone."""
+    left = spark.range(3000).select("id", F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("O"), "id")).alias("o"))
+    right = spark.range(900).select(F.col("id").alias("t"), F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("O"), "id")).alias("o"))
+    cells = hot_cells(left, right, "o", 50).collect()
+    assert [tuple(r) for r in cells] == [("hot", 20, 6)]
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    try:
+        joined = many_to_many(left, right, "o", "id", "t", "inner", cell=50)
+        tasks = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+        plain = [r["count"] for r in left.join(right, "o").groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert sum(tasks) == sum(plain) and max(plain) >= 300_000
+    # 120 cells of about 2,500 rows on 40 tasks
+    assert max(tasks) < 25_000
+
+
 # --- Against brute force ----------------------------------------------------
 
 
