@@ -108,6 +108,8 @@ class TicketSettings:
     ticket_url: str = "https://tickets.example.com/agent/tickets/"
     dashboard_url: str = "https://dashboards.example.com/underwriter"
     footer: str = "Created by merchant risk monitoring"
+    #: Amounts and shares "trimmed" to their digits, or "padded" as their format says.
+    amount_style: str = "trimmed"
 
 
 # --- Pipeline parameters ----------------------------------------------------

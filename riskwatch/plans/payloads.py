@@ -13,7 +13,16 @@ from pyspark.sql import functions as F
 
 from riskwatch.config import TicketSettings
 from riskwatch.functions.scalars import day, ticket_fields, to_json_text
-from riskwatch.functions.text import grouped, joined, number, or_missing, percent, plain
+from riskwatch.functions.text import (
+    ONE_DECIMAL,
+    TWO_DECIMALS,
+    formatted,
+    joined,
+    number,
+    or_missing,
+    percent,
+    plain,
+)
 
 col = F.col
 
@@ -66,12 +75,12 @@ def plain_body(entries: list[tuple[str, Column]]) -> Column:
 # --- Sections shared by the Markdown bodies ---------------------------------
 
 
-def amount(name: str, digits: int = 1) -> Column:
-    return or_missing(grouped(col(name), digits))
+def amount(settings: TicketSettings, name: str, form: str = ONE_DECIMAL) -> Column:
+    return or_missing(formatted(col(name), form, settings.amount_style))
 
 
-def rate(name: str) -> Column:
-    return or_missing(percent(col(name)))
+def rate(settings: TicketSettings, name: str, form: str = TWO_DECIMALS) -> Column:
+    return or_missing(percent(col(name), form, settings.amount_style))
 
 
 def value(name: str) -> Column:
@@ -122,16 +131,16 @@ def score_section() -> Column:
     )
 
 
-def payment_section(with_exposure: bool = True) -> Column:
-    exposure = [Line("FDS Exposure", amount("fds_exposure_current"), " £")] if with_exposure else []
+def payment_section(settings: TicketSettings, with_exposure: bool = True) -> Column:
+    exposure = [Line("FDS Exposure", amount(settings, "fds_exposure_current"), " £")] if with_exposure else []
     return section(
         "Payment Information",
         *exposure,
-        Line("Payments last 12m", amount("merchant_payment_amt_gbp_last_365d"), " £"),
-        Line("Chargeback rate (90days)", rate("cb_rate_90days"), after="%"),
-        Line("Failure rate (90days)", rate("failure_rate_90days"), after="%"),
-        Line("Late Failure rate (90days)", rate("late_failure_rate_90days"), after="%"),
-        Line("Refund rate (90days)", rate("refund_rate_90days"), after="%"),
+        Line("Payments last 12m", amount(settings, "merchant_payment_amt_gbp_last_365d"), " £"),
+        Line("Chargeback rate (90days)", rate(settings, "cb_rate_90days"), after="%"),
+        Line("Failure rate (90days)", rate(settings, "failure_rate_90days"), after="%"),
+        Line("Late Failure rate (90days)", rate(settings, "late_failure_rate_90days"), after="%"),
+        Line("Refund rate (90days)", rate(settings, "refund_rate_90days"), after="%"),
     )
 
 
@@ -147,15 +156,15 @@ def chargeback_section(settings: TicketSettings) -> Column:
     """Differs by history; with history a NULL ticket id makes it NULL."""
     repeated = lines(
         ticket_link(settings, col("ticket_id")),
-        Line("CB Rate Previously", rate("chargeback_monitoring_rate_last"), after="%"),
-        Line("CB Rate Now", rate("cb_rate_30days"), after="%"),
-        Line("Reference CB Rate", rate("reference_cb_rate"), after="%"),
+        Line("CB Rate Previously", rate(settings, "chargeback_monitoring_rate_last"), after="%"),
+        Line("CB Rate Now", rate(settings, "cb_rate_30days"), after="%"),
+        Line("Reference CB Rate", rate(settings, "reference_cb_rate"), after="%"),
         Line("Date Last Trigger", value("chargeback_monitoring_date_last")),
         Line("Days Since Last Trigger", value("chargeback_monitoring_days_since")),
     )
     first = lines(
-        Line("CB Rate", rate("cb_rate_30days"), after="%"),
-        Line("Reference CB Rate", rate("reference_cb_rate"), after="%"),
+        Line("CB Rate", rate(settings, "cb_rate_30days"), after="%"),
+        Line("Reference CB Rate", rate(settings, "reference_cb_rate"), after="%"),
     )
     case = Line("Case Type", value("chargeback_monitoring_alert"))
     return joined(
@@ -168,12 +177,12 @@ def chargeback_section(settings: TicketSettings) -> Column:
 
 def negative_balance_section(settings: TicketSettings) -> Column:
     """Differs by history; a missing ticket id is spelled out."""
-    now = Line("NB Now", amount("nb_balance_current", 2))
+    now = Line("NB Now", amount(settings, "nb_balance_current", TWO_DECIMALS))
     repeated = lines(
         ticket_link(settings, value("ticket_id")),
-        Line("Previous NB", amount("nb_balance_prev", 2)),
+        Line("Previous NB", amount(settings, "nb_balance_prev", TWO_DECIMALS)),
         now,
-        Line("NB Increase", amount("NB_Increase", 2)),
+        Line("NB Increase", amount(settings, "NB_Increase", TWO_DECIMALS)),
     )
     case = Line("Case Type", value("nb_alert_type"))
     return joined(
@@ -184,19 +193,19 @@ def negative_balance_section(settings: TicketSettings) -> Column:
     )
 
 
-def sanctioned_section() -> Column:
-    share = or_missing(grouped(col("FDS_Increase") * 100, 1))
+def sanctioned_section(settings: TicketSettings) -> Column:
+    share = rate(settings, "FDS_Increase", ONE_DECIMAL)
     return section(
         "Sanctioned FDS - Alert Information",
-        Line("Sanctioned FDS Exposure", amount("Sanctioned_Credit_Risk_Exposure"), " £"),
-        Line("Current FDS Exposure", amount("fds_exposure_current"), " £"),
+        Line("Sanctioned FDS Exposure", amount(settings, "Sanctioned_Credit_Risk_Exposure"), " £"),
+        Line("Current FDS Exposure", amount(settings, "fds_exposure_current"), " £"),
         Line("Current FDS in % of sanctioned amount", share, "", "%"),
     )
 
 
-def balance_section() -> Column:
+def balance_section(settings: TicketSettings) -> Column:
     return section(
-        "Negative Balance", Line("Current Negative Balance", amount("nb_balance_current"), " £")
+        "Negative Balance", Line("Current Negative Balance", amount(settings, "nb_balance_current"), " £")
     )
 
 
@@ -218,19 +227,19 @@ def _standard(settings: TicketSettings, *rest: Column) -> Column:
 
 
 def chargeback_body(settings: TicketSettings) -> Column:
-    return _standard(settings, payment_section(), chargeback_section(settings))
+    return _standard(settings, payment_section(settings), chargeback_section(settings))
 
 
 def negative_balance_body(settings: TicketSettings) -> Column:
-    return _standard(settings, payment_section(), negative_balance_section(settings))
+    return _standard(settings, payment_section(settings), negative_balance_section(settings))
 
 
 def sanctioned_body(settings: TicketSettings) -> Column:
-    return _standard(settings, payment_section(with_exposure=False), sanctioned_section())
+    return _standard(settings, payment_section(settings, with_exposure=False), sanctioned_section(settings))
 
 
 def re_review_body(settings: TicketSettings) -> Column:
-    return _standard(settings, balance_section(), payment_section(), review_section(settings))
+    return _standard(settings, balance_section(settings), payment_section(settings), review_section(settings))
 
 
 def score_drop_body(settings: TicketSettings) -> Column:

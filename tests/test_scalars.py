@@ -64,8 +64,38 @@ def test_strict_cast_raises(spark):
         (None, 1, None),
     ],
 )
-def test_grouped_rounds_half_away_and_keeps_the_sign(spark, number, digits, expected):
-    assert value(spark, t.grouped(F.col("v"), digits), v=(number, "decimal(20,2)")) == expected
+def test_trimmed_amounts_round_half_away_and_keep_the_sign(spark, number, digits, expected):
+    form = {1: t.ONE_DECIMAL, 2: t.TWO_DECIMALS}[digits]
+    assert value(spark, t.formatted(F.col("v"), form), v=(number, "decimal(20,2)")) == expected
+
+
+@pytest.mark.parametrize(
+    "number, form, expected",
+    [
+        ("1234567.25", t.ONE_DECIMAL, "   1,234,567.3"),
+        ("-1234.5", t.TWO_DECIMALS, "      -1,234.50"),
+        ("0.25", t.ONE_DECIMAL, "            .3"),
+        ("-0.25", t.ONE_DECIMAL, "           -.3"),
+        ("-0.01", t.ONE_DECIMAL, "            .0"),
+        ("0", t.TWO_DECIMALS, "            .00"),
+        ("999999999.94", t.ONE_DECIMAL, " 999,999,999.9"),
+        ("999999999.95", t.ONE_DECIMAL, " ###,###,###.#"),
+        ("-12345678901.5", t.TWO_DECIMALS, "-###,###,###.##"),
+        ("7", "999", "   7"),
+        ("-7", "990.00", "  -7.00"),
+        ("0.5", "990.00", "   0.50"),
+        ("7", "0000", " 0007"),
+        (None, t.ONE_DECIMAL, None),
+    ],
+)
+def test_padded_amounts_follow_their_format(spark, number, form, expected):
+    assert value(spark, t.formatted(F.col("v"), form, t.PADDED), v=(number, "decimal(20,2)")) == expected
+
+
+@pytest.mark.parametrize("form", ["", "9,9", "abc", "9.9.9", "."])
+def test_other_texts_are_no_formats(form):
+    with pytest.raises(ValueError):
+        t.NumberFormat(form)
 
 
 @pytest.mark.parametrize(
