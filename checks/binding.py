@@ -57,9 +57,9 @@ def organisation(customer: DataFrame) -> DataFrame:
     grouped = customer.selectExpr("c_custkey div 4 AS g", "c_custkey", "c_acctbal", "c_nationkey").groupBy("g")
     return (
         grouped.agg({"c_custkey": "min", "c_acctbal": "min", "c_nationkey": "max"})
-        .where("`min(c_acctbal)` >= -900")
         .selectExpr(
-            "concat('OR', g) AS organisation_id",
+            # Groups with a large debt have a key that no creditor has.
+            "concat(CASE WHEN `min(c_acctbal)` < -900 THEN 'XO' ELSE 'OR' END, g) AS organisation_id",
             "CASE WHEN g % 13 <> 5 THEN concat('CR', `min(c_custkey)`) END AS creditor_id",
             "concat('Group ', g) AS name",
             "concat('G', `max(c_nationkey)`) AS geo",
@@ -98,8 +98,10 @@ def organisation_fact(orders: DataFrame) -> DataFrame:
 
 
 def opportunity(orders: DataFrame) -> DataFrame:
-    return orders.where("o_orderstatus = 'P' AND o_totalprice > 400000").selectExpr(
-        "concat('AC', o_custkey div 4) AS account_id",
+    # Most belong to accounts that no organisation has.
+    account = "CASE WHEN o_orderstatus = 'P' AND o_totalprice > 400000 THEN 'AC' ELSE 'XA' END"
+    return orders.selectExpr(
+        f"concat({account}, o_custkey div 4) AS account_id",
         "concat('OP', o_orderkey) AS opportunity_id",
         "CAST(o_orderdate AS DATE) AS opportunity_created_date",
     )

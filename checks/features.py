@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from datetime import date
-
 from pyspark.sql import functions as F
 
 from checks import ctes as x
 from checks.binding import AS_OF, sources, with_events, with_seen
+from checks.params import CHARGEBACK, INSOLVENCY, QUALIFIER, RE_REVIEW, SCORE_DROP
 from checks.registry import check
 from riskwatch import config as c
 from riskwatch.plans import features as f
@@ -15,14 +14,6 @@ from riskwatch.plans import merge, pipelines
 from riskwatch.plans import payloads as p
 
 SETTINGS = c.TicketSettings()
-QUALIFIER = c.QualifierLimits(
-    exposure_with_low_score=150_000, low_score_below=60, balance_at_most=-20_000, exposure_alone=300_000
-)
-SCORE_DROP = c.ScoreDropParams(qualifier=QUALIFIER)
-CHARGEBACK = c.ChargebackParams(qualifier=QUALIFIER, min_peer_chargebacks=600)
-RE_REVIEW = c.ReReviewParams(review_dates=tuple(date(2001, 8, d) for d in (2, 3, 4, 5)))
-INSOLVENCY = c.InsolvencyParams(label_since=date(2000, 6, 1), limit=None)
-
 DETAIL_DATES = "most_recent_risk_label_created_at creditor_created_date"
 STANDARD_DATES = "most_recent_risk_label_created_at db_failure_score_current_date prediction_calendar_date"
 STANDARD_AMOUNTS = "fds_exposure_current nb_balance_current merchant_payment_amt_gbp_last_365d"

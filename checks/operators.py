@@ -2,51 +2,41 @@
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, timedelta
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from checks import ctes as x
-from checks.binding import AS_OF, raw, sources
-from checks.features import CHARGEBACK, INSOLVENCY, QUALIFIER
+from checks.binding import AS_OF, raw, scratch, sources
+from checks.params import CHARGEBACK, INSOLVENCY, QUALIFIER
 from checks.registry import check
 from riskwatch import config as c
 from riskwatch.functions import scalars as s
 from riskwatch.functions import text as t
 from riskwatch.operators import joins, rules
+from riskwatch.operators.fingerprint import fingerprint
 from riskwatch.operators.metrics import any_window, pivot_fields, titled
 from riskwatch.operators.rows import latest, with_previous
 from riskwatch.plans import features as f
 from riskwatch.plans import merge, pipelines
-from riskwatch.sources import COLUMNS, emit, log_field, read_results
+from riskwatch.sources import COLUMNS, emit, log_fields, read_results, read_written, write_results
 
 col = F.col
 
 # --- Sources and sinks ------------------------------------------------------
 
 
-def _first_column(name: str) -> str:
-    return f'"{COLUMNS[name][0]}"'
-
-
-@check("src1", x.query(" UNION ALL ".join(
-    f"""SELECT '{name}' AS table_name, count(*) AS row_count, count(DISTINCT {_first_column(name)}) AS keys,
-        min(CAST({_first_column(name)} AS VARCHAR)) AS lowest, max(CAST({_first_column(name)} AS VARCHAR)) AS highest
-        FROM {name}""" for name in COLUMNS)))
+@check("src1", x.query(" UNION ALL ".join(x.fingerprint(name, COLUMNS[name]) for name in COLUMNS)))
 def src1(spark, sf):
-    """Every logical table is scanned, and its first column compared."""
+    """Every logical table is scanned: a checksum of each column and of whole rows."""
     tables = sources(spark, sf)
-    counts = []
-    for n in COLUMNS:
-        key = col(COLUMNS[n][0]).cast("string")
-        counts.append(tables.table(n).agg(
-            F.count(F.lit(1)).alias("row_count"), F.count_distinct(key).alias("keys"),
-            F.min(key).alias("lowest"), F.max(key).alias("highest"),
-        ).select(F.lit(n).alias("table_name"), "row_count", "keys", "lowest", "highest"))
-    result = counts[0]
-    for one in counts[1:]:
-        result = result.unionByName(one)
-    return result
+    found = [
+        fingerprint(tables.table(name).select(*COLUMNS[name])).select(F.lit(name).alias("table_name"), "*")
+        for name in COLUMNS
+    ]
+    return reduce(DataFrame.unionByName, found)
 
 
 @check("src2", x.query("""
@@ -85,10 +75,10 @@ def src3(spark, sf):
 def src4(spark, sf):
     """Prior results of one process from the log."""
     rows = read_results(sources(spark, sf).table("result_log"), c.PROCESS_CHARGEBACK)
-    return rows.select(
-        log_field("creditor_id").alias("creditor_id"),
-        log_field("ticket_id").alias("ticket_id"),
-        s.strict_double(log_field("cb_rate_30days")).alias("logged_rate"),
+    return log_fields(rows, "creditor_id", "ticket_id", "cb_rate_30days").select(
+        "creditor_id",
+        "ticket_id",
+        s.strict_double(col("cb_rate_30days")).alias("logged_rate"),
         s.day(col("runtime")).alias("logged_on"),
     )
 
@@ -103,6 +93,29 @@ def snk1(spark, sf):
     )
 
 
+def _written(name, date_text):
+    return f"""SELECT creditor_id, amount_gbp AS fds_exposure_current,
+        CAST({c.TicketSettings().update_ticket_id} AS BIGINT) AS ticket_id, {name} AS process_name,
+        DATE '{date_text}' AS run_date FROM exposure"""
+
+
+@check("snk1_written", x.query(f"""
+    {_written("'Test_Oct15'", "2001-08-02")} WHERE amount_gbp > 1000
+    UNION ALL {_written("'Test_Oct15'", "2001-08-03")}
+    UNION ALL {_written("'again'", "2001-08-03")}""", "run_date", "fds_exposure_current"))
+def snk1_written(spark, sf):
+    """Through the written table: two dates, one of them run three times, two processes."""
+    path, later = scratch(spark, "results"), AS_OF + timedelta(days=1)
+    rows = pipelines.ticket_update(sources(spark, sf), AS_OF).drop(c.UPDATE_TICKET)
+    few = rows.where(col("fds_exposure_current") > 1000)
+    write_results(few, path, AS_OF, verify=True)
+    write_results(few, path, later)
+    write_results(rows.limit(0), path, later, process=c.PROCESS_TICKET_UPDATE)
+    write_results(rows, path, later, process=c.PROCESS_TICKET_UPDATE, verify=True)
+    write_results(rows.withColumn("process_name", F.lit("again")), path, later, verify=True)
+    return read_written(spark, path, rows.schema)
+
+
 # --- Projections ------------------------------------------------------------
 
 
@@ -290,7 +303,7 @@ def flt13(spark, sf):
 
 
 @check("rul1", x.query(f"""
-    SELECT creditor_id, db_failure_score_last_date, CAST({x.QUALIFIER} AS BIGINT) AS qualifies FROM merged_score_drop""",
+    SELECT creditor_id, db_failure_score_last_date, CAST({x.MATERIAL} AS BIGINT) AS qualifies FROM merged_score_drop""",
     "db_failure_score_last_date"))
 def rul1(spark, sf):
     rows = merge.score_drop(sources(spark, sf), AS_OF)
@@ -582,15 +595,31 @@ def agg10(spark, sf):
     return f.onboarding_amounts(sources(spark, sf), AS_OF, c.OnboardingParams())
 
 
-@check("agg11", """
-    SELECT l_returnflag, l_linestatus, count(*) AS lines,
-           CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS amount
-    FROM lineitem GROUP BY 1, 2""")
+@check("agg11", x.query("""
+    SELECT 'balance' AS grouping, creditor_id || '/' || calendar_date AS keys,
+           CAST(balance_amount_sum_gbp AS DOUBLE) AS total FROM yesterday_balance
+    UNION ALL SELECT 'payments', creditor_id, CAST(merchant_payment_vol_last_90d AS DOUBLE) FROM payment_metrics
+    UNION ALL SELECT 'category', merchant_category_code, CAST(mcc_payment_amt_last_12m AS DOUBLE) FROM categories
+    UNION ALL SELECT 'portfolio', CAST(var1 AS VARCHAR), CAST(portfolio_payment_amt_last_12m AS DOUBLE) FROM portfolio
+    UNION ALL SELECT 'onboarding', concat_ws('/', creditor_id, merchant_name, merchant_geo, salesforce_opportunity_id,
+        merchant_category_code, created_date), CAST(payment_gbp_amount_in_all_time AS DOUBLE) FROM onboarding"""))
 def agg11(spark, sf):
-    """Grouping keys by position are explicit keys."""
-    return raw(spark, sf, "lineitem").groupBy("l_returnflag", "l_linestatus").agg(
-        F.count(F.lit(1)).alias("lines"), F.sum(s.money(col("l_extendedprice"))).alias("amount")
-    )
+    """Grouping keys by position are explicit keys: all groupings of the features."""
+    tables = sources(spark, sf)
+    _, categories = f.peer_totals(tables, AS_OF)
+
+    def keyed(name, rows, keys, total):
+        return rows.select(F.lit(name).alias("grouping"), F.concat_ws("/", *keys).alias("keys") if len(keys) > 1
+                           else col(keys[0]).cast("string").alias("keys"), col(total).cast("double").alias("total"))
+
+    onboarding = f.onboarding_amounts(tables, AS_OF, c.OnboardingParams())
+    return reduce(DataFrame.unionByName, [
+        keyed("balance", f.yesterday_balance(tables, AS_OF), ["creditor_id", "calendar_date"], "balance_amount_sum_gbp"),
+        keyed("payments", f.payment_window_metrics(tables, AS_OF), ["creditor_id"], "merchant_payment_vol_last_90d"),
+        keyed("category", categories, ["merchant_category_code"], "mcc_payment_amt_last_12m"),
+        keyed("portfolio", f.portfolio_totals(categories), ["var1"], "portfolio_payment_amt_last_12m"),
+        keyed("onboarding", onboarding, onboarding.columns[:6], "payment_gbp_amount_in_all_time"),
+    ])
 
 
 # --- Windows ----------------------------------------------------------------
@@ -822,15 +851,21 @@ def sca14(spark, sf):
 
 @check("sca15", f"""
     SELECT l_orderkey, l_linenumber, {x.grouped('CAST(l_extendedprice AS DECIMAL(18,2)) - 50000', 1)} AS one_digit,
-           {x.grouped('l_extendedprice * 10000', 2)} AS two_digits, {x.grouped('l_discount * 100', 2)} AS share
+           {x.grouped('l_extendedprice * 10000', 2)} AS two_digits, {x.grouped('l_discount * 100', 2)} AS share,
+           {x.padded('CAST(l_extendedprice AS DECIMAL(18,2)) - 50000', 1)} AS one_digit_padded,
+           {x.padded('l_extendedprice * 10000', 2)} AS two_digits_padded,
+           {x.padded('l_discount * 100', 2)} AS share_padded
     FROM lineitem""")
 def sca15(spark, sf):
-    """Thousands separators, sign and fixed digits."""
+    """Thousands separators, sign and fixed digits: trimmed, and as the format says."""
+    amounts = {"one_digit": (s.money(col("l_extendedprice")) - 50_000, t.ONE_DECIMAL),
+               "two_digits": (col("l_extendedprice") * 10_000, t.TWO_DECIMALS)}
     return raw(spark, sf, "lineitem").select(
         "l_orderkey", "l_linenumber",
-        t.grouped(s.money(col("l_extendedprice")) - 50_000, 1).alias("one_digit"),
-        t.grouped(col("l_extendedprice") * 10_000, 2).alias("two_digits"),
+        *[t.formatted(value, form).alias(name) for name, (value, form) in amounts.items()],
         t.percent(col("l_discount")).alias("share"),
+        *[t.formatted(value, form, t.PADDED).alias(f"{name}_padded") for name, (value, form) in amounts.items()],
+        t.percent(col("l_discount"), style=t.PADDED).alias("share_padded"),
     )
 
 

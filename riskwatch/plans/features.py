@@ -15,7 +15,7 @@ from riskwatch.operators.rows import latest, with_previous
 from riskwatch.operators.rules import managed_label, reference_rate
 from riskwatch.operators.staging import shared_folder, stage
 from riskwatch.sources.payment_events import payments_let_in
-from riskwatch.sources.result_log import log_field, read_results
+from riskwatch.sources.result_log import log_fields, read_results
 from riskwatch.sources.tables import Sources
 
 # --- Merchants --------------------------------------------------------------
@@ -408,11 +408,9 @@ def last_alert(sources: Sources, as_of: date, process: str, metric: str, names:
     ``trigger``. The process is pinned by the filter, so the creditor alone is
     the window key.
     """
-    rows = read_results(sources.table("result_log"), process).select(
-        log_field("creditor_id").alias("creditor_id"),
-        log_field("ticket_id").alias("ticket_id"),
-        s.strict_double(log_field(metric)).alias(names["metric"]),
-        "runtime",
+    logged = read_results(sources.table("result_log"), process).select("values", "runtime")
+    rows = log_fields(logged, "creditor_id", "ticket_id", metric).select(
+        "creditor_id", "ticket_id", s.strict_double(F.col(metric)).alias(names["metric"]), "runtime"
     )
     newest = latest(rows, ["creditor_id"], ["runtime", "ticket_id", names["metric"]])
     logged = s.day(F.col("runtime"))

@@ -9,7 +9,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from checks import binding
-from checks.features import CHARGEBACK, INSOLVENCY, RE_REVIEW, SCORE_DROP
+from checks.params import CHARGEBACK, INSOLVENCY, RE_REVIEW, SCORE_DROP
 from riskwatch import PIPELINES, Sources, run
 from riskwatch import config as c
 from riskwatch.operators import staging
