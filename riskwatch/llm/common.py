@@ -20,30 +20,56 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# By application: a folder of a local session that names none, and what was staged.
+_own_folder: dict[str, str] = {}
+_staged: dict[str, list[str]] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors share; a scratch one only where none is named."""
-    named = spark.conf.get(CHECKPOINT_DIR, None)
-    if not named:
-        named = tempfile.mkdtemp(prefix="llm-shared-")
-        spark.conf.set(CHECKPOINT_DIR, named)
-    return named.rstrip("/")
+    """The folder all executors share, named in ``spark.checkpoint.dir``.
+
+    Only a session without other machines may do without, as in tests; it gets a
+    scratch folder, and the session's settings stay as they are.
+    """
+    named = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getCheckpointDir()
+    if named:
+        return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError(f"set {CHECKPOINT_DIR} to a folder that all executors share")
+    application = spark.sparkContext.applicationId
+    if application not in _own_folder:
+        _own_folder[application] = tempfile.mkdtemp(prefix="llm-shared-")
+    return _own_folder[application]
 
 
 def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    _staged.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Writes ``df`` to the shared folder and gives back the table.
 
     Later uses read the files, so a lost executor costs a re-read of a part and
-    Spark knows the table's size.
+    Spark knows the table's size. ``drop_staged`` removes the files again.
     """
     path = new_path(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def drop_staged(spark: SparkSession) -> int:
+    """Removes what this session's operators wrote to the shared folder; call it
+    when their results are written elsewhere."""
+    paths = _staged.pop(spark.sparkContext.applicationId, [])
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    for name in paths:
+        path = jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(conf).delete(path, True)
+    return len(paths)
+
+
 _shipped: set[str] = set()
 
 

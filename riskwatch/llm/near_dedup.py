@@ -5,13 +5,18 @@ is circularly shifted by k for the k-th coordinate. Documents that agree in all
 rows of a band meet in a bucket, and links are confirmed on the documents' full
 sets of word shingles.
 
-How it scales: texts are read once for the signatures. Documents with the same
-words become one before banding, so a third of all rows being copies costs a
-map-side combine. A bucket is not expanded into pairs: its members are first
-compared with one centre each, and after that only members that are not yet
-known to be in one component, and whose rarest shingles allow a link. All joins on a bucket or a centre are plain
-equi-joins that AQE splits. Only texts of documents that share a bucket are
-moved.
+How it scales: texts are read once for the signatures and once more for the
+comparison. Documents with the same words become one before banding, so a third
+of all rows being copies costs a map-side combine. A bucket is not expanded into
+pairs: its members are first compared with one centre each, and after that only
+members that are not yet known to be in one component, and whose rarest shingles
+allow a link. All joins on a bucket, a centre or a shingle are plain equi-joins
+that AQE splits. Only texts of documents that share a bucket are moved, and few
+others: a bitmap of ``BITS`` bits, a bit for each such id's hash, is broadcast
+and lets through as many further texts as its share of set bits. It has one size
+whatever the input; with more ids than bits it lets all texts through, and they
+are moved once. Members of one family whose similarity lies below the one asked
+for are compared with each other as far as their rare shingles meet.
 
 Exactness: every reported link is verified on words. A linked pair is missed by
 all bands with a probability of at most ``MISS`` (the number of bands follows
@@ -26,6 +31,7 @@ with the same ``doc_id`` are one document. Only ``doc_id`` and ``text`` are read
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections.abc import Iterator
 
@@ -42,6 +48,9 @@ ROWS = 4
 MISS = 1e-6
 WORDS_KEPT = 400_000
 BLOCK = 1 << 15
+#: Bits of the filter on ids, and of one row of it (fixed by Spark's function).
+BITS = 1 << 27
+ROW_BITS = 1 << 15
 
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
@@ -158,7 +167,7 @@ def _sign(size: int, bands: int, rows: int):
                     [
                         part.column(0).cast(pa.int64()),
                         pa.array([len(shingles_of(w, size)) for w in words], pa.int64()),
-                        pa.array([xxhash.xxh3_128_digest(b" ".join(w)) if w else None for w in words], pa.binary()),
+                        pa.array([hashlib.sha256(b" ".join(w)).digest() if w else None for w in words], pa.binary()),
                         pa.array(lists, pa.list_(pa.int64())),
                     ],
                     schema=schema,
@@ -193,15 +202,17 @@ def _verify(size: int, percent: int):
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, first = None, set()
+        # Rows come ordered by one side; its set is kept while it stays the same.
+        held: list[tuple[str | None, set]] = [(None, set()), (None, set())]
         for batch in batches:
             left, right = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             found = []
             for k, (a, b) in enumerate(zip(left, right, strict=True)):
-                text = batch.column(2)[k].as_py()
-                if text != last:
-                    last, first = text, shingles_of(words_of(text), size)
-                if similar(first, shingles_of(words_of(batch.column(3)[k].as_py()), size), percent):
+                for side in (0, 1):
+                    text = batch.column(2 + side)[k].as_py()
+                    if text != held[side][0]:
+                        held[side] = text, shingles_of(words_of(text), size)
+                if similar(held[0][1], held[1][1], percent):
                     found.append((a, b))
             yield pa.RecordBatch.from_arrays(
                 [pa.array([x[0] for x in found], pa.int64()), pa.array([x[1] for x in found], pa.int64())], schema=schema
@@ -266,8 +277,10 @@ class _Matcher:
         docs = open_members.select("doc", "n", "label").distinct()
         rows = docs.join(self.texts, "doc").select("doc", "n", "label", "text")
         shingles = rows.mapInArrow(_shingle_rows(self.size), "doc long, n long, label long, g long")
-        df = F.count(F.lit(1)).over(Window.partitionBy("g"))
-        common = shingles.withColumn("df", df).where(F.col("df") > 1)
+        shingles = stage(shingles, "shingles")
+        # Counted partly in each task, and joined back: a common shingle is split.
+        counts = shingles.groupBy("g").agg(F.count(F.lit(1)).alias("df")).where(F.col("df") > 1)
+        common = shingles.join(counts, "g")
         of_doc = Window.partitionBy("doc")
         # Shingles of one document only come first; they are not in ``common``.
         rank = F.row_number().over(of_doc.orderBy("df", "g"))
@@ -288,6 +301,21 @@ class _Matcher:
         return self.pairs(joined.select(F.col("doc_x").alias("x"), "n_x", F.col("doc_y").alias("y"), "n_y"))
 
 
+def _among(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows whose ``doc`` is one of ``ids``, none missing, and few others moved.
+
+    The bitmap has ``BITS`` bits in rows of ``ROW_BITS``, which bounds the broadcast
+    to 16 MB. Ids that share a bit with a wanted one pass it, and go in the join.
+    """
+    place = F.pmod(F.xxhash64("doc"), F.lit(BITS))
+    row, bit = F.floor(place / ROW_BITS).cast("long"), place % ROW_BITS
+    bits = ids.groupBy(row.alias("_row")).agg(F.bitmap_construct_agg(bit).alias("_bits"))
+    byte = F.conv(F.hex(F.substring("_bits", (bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    marked = rows.join(F.broadcast(stage(bits, "bits")), row == F.col("_row"))
+    hit = byte.bitwiseAND(F.call_function("shiftleft", F.lit(1), (bit % 8).cast("int"))) != 0
+    return marked.where(hit).select(*rows.columns).join(ids, "doc", "left_semi")
+
+
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, rows: int = ROWS) -> DataFrame:
     """Per document: n_shingles, component_id (least id reachable), kept."""
     ship(docs.sparkSession)
@@ -309,8 +337,8 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, rows: int
     rows_in = firsts.select("doc", "n", F.explode("buckets").alias("bucket"))
     shared = rows_in.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > 1)
     members = stage(rows_in.join(shared, "bucket").select("bucket", "doc", "n", "size"), "members")
-    wanted = members.select("doc").distinct()
-    texts = stage(source.withColumnRenamed("doc_id", "doc").join(wanted, "doc", "left_semi"), "texts")
+    wanted = stage(members.select("doc").distinct(), "wanted")
+    texts = stage(_among(source.withColumnRenamed("doc_id", "doc"), wanted), "texts")
 
     matcher = _Matcher(members, texts, size, percent)
     links = matcher.links(matcher.star())

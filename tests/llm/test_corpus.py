@@ -13,7 +13,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from riskwatch.llm import decontaminate, near_dedup, pieces, pii, quality, queries, suffix_dedup, token_output
+from riskwatch.llm import common, decontaminate, near_dedup, pieces, pii, quality, queries, suffix_dedup, token_output
 from riskwatch.llm.components import components
 from tests.llm.data import plain, sentence
 
@@ -87,6 +87,42 @@ def test_buckets_miss_hardly_any_similar_pair():
     assert found == 300 and abs(np.mean(agree)) < 0.01
 
 
+def test_a_family_below_the_threshold_is_told_apart(spark):
+    """Documents of one template, all pairs nearly similar enough, and real copies among them."""
+    pick = random.Random(12)
+    base = sentence(pick, 100).split()
+    rows = []
+    for k in range(70):
+        words = list(base)
+        for at in pick.sample(range(100), 6):
+            words[at] = f"own{k}x{at}"
+        rows.append((k, " ".join(words)))
+    rows += [(100 + k, rows[k][1] + " end") for k in range(5)] + [(200, rows[9][1].upper())]
+    want, sizes = brute_components(rows, 3, 85)
+    assert len(set(want.values())) > 60
+    got = {r["doc_id"]: r for r in near_dedup.near_duplicates(plain(spark, rows), 3, 85).collect()}
+    assert {k: r["component_id"] for k, r in got.items()} == want and {k: r["n_shingles"] for k, r in got.items()} == sizes
+
+
+@pytest.mark.parametrize("bits", [1 << 15, 1 << 17, 1 << 27])
+def test_the_filter_on_ids_loses_and_adds_none(spark, monkeypatch, bits):
+    monkeypatch.setattr(near_dedup, "BITS", bits)
+    rows = spark.range(-3000, 3000).selectExpr("id * 7 AS doc", "concat('t', id) AS text").union(spark.sql("SELECT null, 'x'"))
+    ids = spark.range(-2500, 2500, 11).selectExpr("id * 7 AS doc")
+    got = near_dedup._among(rows, ids)
+    assert got.columns == ["doc", "text"]
+    assert sorted(got.collect()) == sorted(rows.join(ids, "doc", "left_semi").collect())
+    assert near_dedup._among(rows, ids.limit(0)).count() == 0
+
+
+def test_staged_files_can_be_dropped_and_settings_stay(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(common, "shared_folder", lambda _: str(tmp_path))
+    common.drop_staged(spark)
+    near_dedup.near_duplicates(plain(spark, near_copies(3, 20, 9))).collect()
+    assert len(list(tmp_path.iterdir())) > 5
+    assert common.drop_staged(spark) > 5 and not list(tmp_path.iterdir())
+
+
 def test_components_of_chains_and_hubs(spark):
     links = [(k, k + 1) for k in range(40)] + [(100, k) for k in range(101, 160)] + [(7, 7), (200, 199)]
     found = {r["doc"]: r["component"] for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
