@@ -11,13 +11,16 @@ information, or a mail or telephone scheme) and ``account`` (an identifier behin
 a cue such as "iban" or "ssn", with checks of its own). Base matches never
 depend on the added ones.
 
-Each row is handled by itself, in Arrow batches, so nothing is shuffled and a
-very long text costs time in proportion to its length.
+Each row is handled by itself, in Arrow batches, so nothing is shuffled. Every
+parser goes on where the last of its kind ended, and a run of address characters
+is read once for all schemes in it, so a text costs time in proportion to its
+length, whatever stands in it.
 
 Defined results: a null text is an empty one, without spans. A null ``doc_id``
 stays null. Repeated rows give a row each. Other columns are not read by
 ``find_pii``; ``redact`` keeps every column of its input. Positions are code
-points, ends exclusive; spans of different kinds may overlap.
+points, ends exclusive; spans of different kinds may overlap. An empty table
+gives an empty one.
 """
 
 from __future__ import annotations
@@ -101,7 +104,8 @@ def _ips(text: str, at: int) -> tuple[list[Span], int]:
     for k in range(0, len(numbers) - 3, 4):
         group = numbers[k : k + 4]
         end = start + sum(map(len, group)) + 3
-        if all(len(x.lstrip("0")) <= 3 and int(x) <= 255 for x in group):
+        # Leading zeros go first: a number may have any length.
+        if all(len(x) <= 3 and int(x or "0") <= 255 for x in (number.lstrip("0") for number in group)):
             found.append(("ip", start, end))
         start = end + 1
     return found, chain.end()
@@ -124,19 +128,38 @@ def _phone(text: str, at: int) -> tuple[Span | None, int]:
     return ("phone", at, chain.end()) if fits else None, chain.end()
 
 
-def _url(text: str, start: int, scheme_end: int) -> Span | None:
-    rest = _ADDRESS.match(text, scheme_end)
-    if rest is None:
-        return None
-    end = rest.end()
-    while end > scheme_end and text[end - 1] in ".,;:!?":
-        end -= 1
-    body = text[scheme_end:end]
-    if text.startswith("//", scheme_end - 2):
-        personal = "@" in body.partition("/")[0]
-    else:
-        personal = "@" in body or sum(map(str.isdigit, body)) >= 7
-    return ("url", start, end) if personal else None
+class _Address:
+    """The run of address characters around a scheme, looked at once for all
+    schemes in it."""
+
+    def __init__(self) -> None:
+        self.stop = self.end = 0
+        self.last_at = self.seventh = -1
+
+    def enter(self, text: str, start: int) -> bool:
+        """Whether characters follow at ``start``; reads their run if it is a new one."""
+        if start >= self.stop:
+            rest = _ADDRESS.match(text, start)
+            if rest is None:
+                return False
+            self.stop = self.end = rest.end()
+            while self.end > start and text[self.end - 1] in ".,;:!?":
+                self.end -= 1
+            self.last_at = text.rfind("@", start, self.end)
+            digits = [k for k, c in enumerate(text[start : self.end], start) if c.isdigit()][-7:]
+            # From here on or before, seven digits follow.
+            self.seventh = digits[0] if len(digits) == 7 else -1
+        return True
+
+    def url(self, text: str, start: int, scheme_end: int) -> Span | None:
+        if not self.enter(text, scheme_end):
+            return None
+        if text.startswith("//", scheme_end - 2):
+            path = text.find("/", scheme_end, self.end)
+            personal = "@" in text[scheme_end : path if path >= 0 else max(scheme_end, self.end)]
+        else:
+            personal = max(self.last_at, self.seventh) >= scheme_end
+        return ("url", start, self.end) if personal else None
 
 
 def _account(text: str, start: int, cue_end: int) -> Span | None:
@@ -163,7 +186,7 @@ def find_spans(text: str) -> list[Span]:
     """All spans, by kind as listed and then by start."""
     by_kind: dict[str, list[Span]] = {kind: [] for kind in (*BASE, *ADDED)}
     after = dict.fromkeys((*BASE, *ADDED), 0)
-    digits_after = 0
+    digits_after, address = 0, _Address()
     for last, (anchor, length) in _anchors.iter(text):
         at = last - length + 1
         if anchor == "digit":
@@ -182,7 +205,7 @@ def find_spans(text: str) -> list[Span]:
         elif anchor == "phone":
             span, after["phone"] = _phone(text, at)
         elif anchor == "url":
-            span = _url(text, at, last + 1)
+            span = address.url(text, at, last + 1)
         else:
             span = _account(text, at, last + 1)
         if span:

@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 from html import unescape
 from pathlib import Path
 from string import ascii_letters, ascii_lowercase, digits
@@ -49,6 +50,54 @@ def test_base_personal_data_equals_the_patterns_in_mixtures(parts):
     assert [s for s in pii.find_spans(text) if s[0] in pii.BASE] == plain_pii(text)
 
 
+def slow_url(text, start, scheme_end):
+    """The same rule, read anew for every scheme."""
+    rest = re.compile(r"[^\s<>\"'(){}\[\]]+").match(text, scheme_end)
+    if rest is None:
+        return None
+    body = rest.group().rstrip(".,;:!?")
+    if text.startswith("//", scheme_end - 2):
+        personal = "@" in body.partition("/")[0]
+    else:
+        personal = "@" in body or sum(map(str.isdigit, body)) >= 7
+    return ("url", start, scheme_end + len(body)) if personal else None
+
+
+@many
+@given(st.lists(st.sampled_from(["http://", "mailto:", "tel:", "a@b.c", "/", "1234", "x", ".", ":", " ", "(", "sip:", "@", "99"]), max_size=14))
+def test_addresses_equal_a_plain_reading(parts):
+    text, found, after = "".join(parts), [], 0
+    for m in re.finditer("(?=(https?://|ftp://|mailto:|tel:|sip:))", text):
+        span = slow_url(text, m.start(), m.start() + len(m.group(1))) if m.start() >= after else None
+        if span:
+            found.append(span)
+            after = span[2]
+    assert [s for s in pii.find_spans(text) if s[0] == "url"] == found
+
+
+LONG = 1_000_000
+
+
+@pytest.mark.parametrize("piece", [
+    "0", "0.", "http://", "mailto:", "a@", "a@b.", "+1", "+1 ", "1 ", "1-", "iban ", "ssn 123-45-6789 ", "x", "1.2.3.4 ",
+    "http://u@h/ ", "tel:123 ", "+1 (2) 3-4.5", "GB82 ", "@", "sip:1",
+])
+def test_personal_data_takes_linear_time(piece):
+    text = piece * (LONG // len(piece))
+    begin = time.time()
+    spans = pii.find_spans(text)
+    assert time.time() - begin < 12
+    short = piece * 60
+    assert [s for s in pii.find_spans(short) if s[0] in pii.BASE] == plain_pii(short)
+    assert all(end <= len(text) for _, _, end in spans)
+
+
+def test_numbers_of_any_length_are_read():
+    zeros = "0" * 5000
+    assert pii.find_spans(f"{zeros}1.1.1.{zeros}255") == [("ip", 0, 10009)]
+    assert pii.find_spans(f"{zeros}256.1.1.1") == []
+
+
 def test_added_personal_data_and_masks():
     text = "iban DE89 3704 0044 0532 0130 00 and https://me:pw@host.org/x, mailto:a@b.cd SSN: 123-45-6789."
     kinds = [k for k, _, _ in pii.find_spans(text)]
