@@ -49,7 +49,7 @@ MISS = 1e-6
 WORDS_KEPT = 400_000
 BLOCK = 1 << 15
 #: Bits of the filter on ids, and of one row of it (fixed by Spark's function).
-BITS = 1 << 27
+BITS = 1 << 26
 ROW_BITS = 1 << 15
 
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
@@ -279,7 +279,8 @@ class _Matcher:
         shingles = rows.mapInArrow(_shingle_rows(self.size), "doc long, n long, label long, g long")
         shingles = stage(shingles, "shingles")
         # Counted partly in each task, and joined back: a common shingle is split.
-        counts = shingles.groupBy("g").agg(F.count(F.lit(1)).alias("df")).where(F.col("df") > 1)
+        # Written tables on both sides of a join let AQE split its hot partitions.
+        counts = stage(shingles.groupBy("g").agg(F.count(F.lit(1)).alias("df")).where(F.col("df") > 1), "counts")
         common = shingles.join(counts, "g")
         of_doc = Window.partitionBy("doc")
         # Shingles of one document only come first; they are not in ``common``.
@@ -292,9 +293,9 @@ class _Matcher:
         )
         each = early.groupBy("g", "label").agg(F.count(F.lit(1)).alias("k"))
         major = each.groupBy("g").agg(F.max_by("label", "k").alias("major"), F.count(F.lit(1)).alias("labels"))
-        major = major.where(F.col("labels") > 1).select("g", "major")
+        major = stage(major.where(F.col("labels") > 1).select("g", "major"), "major")
         x = early.join(major, "g").where(F.col("label") != F.col("major"))
-        x = x.select("g", *[F.col(c).alias(f"{c}_x") for c in ("doc", "n", "label", "left")])
+        x = stage(x.select("g", *[F.col(c).alias(f"{c}_x") for c in ("doc", "n", "label", "left")]), "minor")
         y = early.select("g", *[F.col(c).alias(f"{c}_y") for c in ("doc", "n", "label", "left")])
         enough = (100 + self.percent) * F.least("left_x", "left_y") >= self.percent * (F.col("n_x") + F.col("n_y"))
         joined = x.join(y, "g").where((F.col("label_x") != F.col("label_y")) & enough)
@@ -305,7 +306,7 @@ def _among(rows: DataFrame, ids: DataFrame) -> DataFrame:
     """The rows whose ``doc`` is one of ``ids``, none missing, and few others moved.
 
     The bitmap has ``BITS`` bits in rows of ``ROW_BITS``, which bounds the broadcast
-    to 16 MB. Ids that share a bit with a wanted one pass it, and go in the join.
+    to 8 MB. Ids that share a bit with a wanted one pass it, and go in the join.
     """
     place = F.pmod(F.xxhash64("doc"), F.lit(BITS))
     row, bit = F.floor(place / ROW_BITS).cast("long"), place % ROW_BITS

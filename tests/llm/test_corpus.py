@@ -104,7 +104,7 @@ def test_a_family_below_the_threshold_is_told_apart(spark):
     assert {k: r["component_id"] for k, r in got.items()} == want and {k: r["n_shingles"] for k, r in got.items()} == sizes
 
 
-@pytest.mark.parametrize("bits", [1 << 15, 1 << 17, 1 << 27])
+@pytest.mark.parametrize("bits", [1 << 15, 1 << 17, 1 << 26])
 def test_the_filter_on_ids_loses_and_adds_none(spark, monkeypatch, bits):
     monkeypatch.setattr(near_dedup, "BITS", bits)
     rows = spark.range(-3000, 3000).selectExpr("id * 7 AS doc", "concat('t', id) AS text").union(spark.sql("SELECT null, 'x'"))
