@@ -291,7 +291,55 @@ def test_decontamination_equals_brute_force(spark):
         docs.append((k, text + (" zwölf Äpfel" if k % 9 == 0 else "")))
     table = spark.createDataFrame(items, "item_id bigint, text string")
     got = {r["doc_id"]: tuple(r)[1:] for r in decontaminate.decontaminate(plain(spark, docs), table).collect()}
-    assert got == brute_hits(docs, items)
+    near = brute_near(docs, items)
+    assert got == {doc: (*row, near[doc]) for doc, row in brute_hits(docs, items).items()}
+
+
+def brute_near(docs, items, size=10, slack=2):
+    def words(text):
+        return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m.group().lower(), text or ""))
+
+    counts = Counter(w for _, text in docs for w in words(text))
+    out = {}
+    for doc, text in docs:
+        w, found = words(text), set()
+        for item, passage in items:
+            p = words(passage)
+            n = min(size, len(p))
+            for k in range(len(p) - n + 1 if n else 0):
+                window = p[k : k + n]
+                order = sorted(range(n), key=lambda at: (counts[window[at]], at))
+                one, two = order[0], order[min(1, n - 1)]
+                if not counts[window[one]]:
+                    continue
+                for s in [at - one for at, x in enumerate(w) if x == window[one]]:
+                    other = any(0 <= s + two + d < len(w) and w[s + two + d] == window[two] for d in range(-slack, slack + 1))
+                    around = set(w[max(s - slack, 0) : max(s + n + slack, 0)])
+                    if s >= -slack and other and len(around & set(window)) >= len(set(window)) - slack:
+                        found.add(item)
+        out[doc] = len(found)
+    return out
+
+
+def test_a_changed_passage_is_near_and_not_exact(spark):
+    """One word put in, left out or replaced in the middle of 15 leaves no exact window."""
+    pick = random.Random(3)
+    passage = sentence(pick, 15).split()
+    changed = {
+        1: passage,
+        2: passage[:7] + ["added"] + passage[7:],
+        3: passage[:7] + passage[8:],
+        4: passage[:7] + ["other"] + passage[8:],
+        5: passage[::-1],
+        6: sentence(pick, 40).split(),
+        7: passage[:7] + sentence(pick, 9).split() + passage[7:],
+    }
+    before = sentence(pick, 70)
+    docs = plain(spark, [(k, f"{before} {' '.join(words)} {before}") for k, words in changed.items()])
+    table = spark.createDataFrame([(1, " ".join(passage))], "item_id bigint, text string")
+    got = {r["doc_id"]: (r["contaminated"], r["n_near"]) for r in decontaminate.decontaminate(docs, table).collect()}
+    assert got[1] == (True, 1) and got[5] == got[6] == (False, 0)
+    assert got[2] == got[3] == got[4] == (False, 1)
 
 
 # --- Files and the pipeline -------------------------------------------------

@@ -81,7 +81,6 @@ def test_pages(spark):
     assert html_text.extract(pages.limit(0)).collect() == []
 
 
-def test_proximity(spark):
-    docs = plain(spark, [(1, "a x x b a"), (2, "a x x x x b"), (3, None)])
-    found = [tuple(r) for r in decontaminate.near_matches(docs, "a", "b", 3).collect()]
-    assert sorted(found) == [(1, 0, 3), (1, 4, 3)]
+def test_without_a_benchmark_nothing_is_contaminated(spark, edges):
+    rows = decontaminate.decontaminate(edges, benchmark(spark).limit(0)).collect()
+    assert len(rows) == len(edge_rows()) and not any(r["n_hit"] or r["n_items"] or r["n_near"] or r["contaminated"] for r in rows)
