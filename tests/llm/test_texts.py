@@ -256,6 +256,61 @@ def test_pages_without_an_element_of_content():
     assert html_text.main_text(f"<p>Top.</p><article><p>{long}</p></article><p>End.</p>") == long
 
 
+def changed(page):
+    """Blocks that the cut labels otherwise than their own score does."""
+    blocks = html_text.blocks_of(page)
+    scores, kept = html_text.labels(blocks)
+    return [(b.text, k) for b, score, k in zip(blocks, scores, kept, strict=True) if (score > 0) != k]
+
+
+ARTICLE = "<nav><a href=/>Home</a></nav><article><h1>Title</h1><p>One paragraph of some length is here.</p>{}<p>Another one ends it.</p></article><footer>F</footer>"
+
+
+@pytest.mark.parametrize("inside", [
+    '<p class="alert-box">Kept.</p>', '<p id="legal">Kept.</p>', '<div class="search-tips"><p>Kept.</p></div>',
+    '<p><a href="/x">Kept.</a></p>', '<p class="hint">Kept.</p>', '<div class="related-work"><p>Kept.</p></div>', "<p>Kept.</p>",
+])
+def test_a_weak_sign_alone_loses_no_paragraph(inside):
+    text = html_text.main_text(ARTICLE.format(inside))
+    assert text == "Title One paragraph of some length is here. Kept. Another one ends it."
+
+
+@pytest.mark.parametrize("inside", [
+    '<div class="ad">Gone.</div>', '<p class="ad">Gone.</p>', '<div class="ad-slot"><p>Gone.</p></div>', "<aside>Gone.</aside>",
+    '<section id="comments"><p>{}</p><p>Gone.</p></section>'.format("Gone and long. " * 40), "<form>Gone.<input></form>",
+    '<div class="notice">Gone.</div>', '<div class="newsletter-box">Gone.</div>', '<aside><article><p>Gone.</p></article></aside>',
+    '<ul class="share"><li><a>Gone</a><li><a>Gone</a></ul>', '<div class="cookie-banner"><p>Gone.</p></div>', "<nav>Gone.</nav>",
+])
+def test_parts_that_are_no_article_go(inside):
+    assert "Gone" not in html_text.main_text(ARTICLE.format(inside))
+    assert html_text.main_text(ARTICLE.format(inside)).endswith("here. Another one ends it.")
+
+
+def test_the_cut_decides_what_scores_leave_open():
+    # A linked line alone counts as a menu; between paragraphs it is one of them.
+    link = '<p><a href="/x">See the next part.</a></p>'
+    assert changed(ARTICLE.format(link)) == [("See the next part.", True)]
+    # A line with hardly any sign of its own, between adverts: it goes with them.
+    rows = '<div class="content"><div class="ad">Buy.</div><div class="box-alert">Now only today.</div><div class="ad">Buy more.</div></div>'
+    page = f"<main><p>{'The text of the page. ' * 9}</p></main>{rows}"
+    open_scores = dict(zip([b.text for b in html_text.blocks_of(page)], html_text.labels(html_text.blocks_of(page))[0], strict=True))
+    assert abs(open_scores["Now only today."]) < 1.2 and "Now only" not in html_text.main_text(page)
+
+
+@pytest.mark.parametrize("piece", [
+    "<a ", "<a '", '<a "', "<b>", "</i>", "<b></i>", "<!", "<?", "<p>", "<div>", '<a href="x>', "<nav>x</nav><p>y</p>", "&",
+    '<div class="ad">x</div><p><a>y</a></p>', "<i><article><b>", "<p>x<a>y</a>", "<svg>", "<![CDATA[", "<a \"'>",
+])
+def test_broken_pages_take_linear_time(piece):
+    for tail in ("", ">"):
+        begin = time.time()
+        html_text.main_text(piece * (500_000 // len(piece)) + tail)
+        assert time.time() - begin < 10
+    begin = time.time()
+    html_text.main_text("<i><article>" + "<b>" * 100_000 + "</i>" * 100_000)
+    assert time.time() - begin < 10
+
+
 def test_formulas_are_text():
     page = """<article><p>So <math><semantics><mrow><mi>a</mi><mo>=</mo><mfrac><mn>1</mn><mn>2</mn></mfrac></mrow>
       <annotation encoding="application/x-tex">a=\\frac12</annotation></semantics></math> holds.<svg><text>Label</text></svg></article>"""
