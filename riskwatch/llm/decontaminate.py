@@ -14,13 +14,14 @@ s + n + SLACK. An exact phrase is one, too. So a passage with a word put in, lef
 out or replaced is found by windows around the change, also if the item has no
 window without it; ``n_near`` counts such items and decides nothing else.
 
-How it scales: the corpus is read three times (term counts, postings, texts of
-candidates) and never shuffled as a whole. Counting combines on the map side.
-The postings are those of rare terms; a common term is used only where a window
-has no rarer one. Postings are joined by term with the windows, of which Spark
-broadcasts the table if it is small; else AQE splits a common term's list, as both
-sides are written tables. The lists meet by document and stretch of it. Tables
-that grow with the benchmark are joined without a hint.
+How it scales: the corpus is cut into words once, for the postings of all terms of
+the benchmark, and its texts are read once more for the candidates; it is never
+shuffled as a whole. Terms are counted from their postings, on the map side. A
+common term's list is used only where a window has no rarer one. Lists are joined
+by term with the windows, of which Spark broadcasts the table if it is small; else
+AQE splits a common term's list, as both sides are written tables. The lists of a
+window meet by document and stretch of it. Tables that grow with the benchmark are
+joined without a hint.
 
 Defined results: a null or empty text has no words, no hits and no items. An
 item without words has no window; one of fewer than ten words is one window.
@@ -61,6 +62,10 @@ def test_windows(benchmark: DataFrame, size: int = WINDOW) -> DataFrame:
     return runs.select("item_id", F.slice("words", F.col("at") + 1, size).alias("window")).distinct()
 
 
+def window_id(window: Column) -> Column:
+    return F.sha2(F.array_join(window, " "), 256).alias("window_id")
+
+
 def positional_index(docs: DataFrame, terms: DataFrame) -> DataFrame:
     """Stores (term, doc_id, position) for the given terms, positions from 0.
 
@@ -71,18 +76,15 @@ def positional_index(docs: DataFrame, terms: DataFrame) -> DataFrame:
     return stage(tokens.join(terms, "term", "left_semi").select("term", "doc_id", "position"), "postings")
 
 
-def rarest_terms(docs: DataFrame, windows: DataFrame) -> DataFrame:
+def rarest_terms(index: DataFrame, windows: DataFrame) -> DataFrame:
     """(window, first, first_at, second, second_at): a window's two rarest terms.
 
     Counts are over the whole corpus. Ties go to the earlier place. A window of
     one word has it as both.
     """
     places = windows.select("window", F.posexplode("window").alias("at", "term"))
-    tokens = docs.select(F.explode(words_of(F.col("text"))).alias("term"))
     # A written table has a known size, by which Spark chooses the join.
-    terms = stage(places.select("term").distinct(), "terms")
-    counts = tokens.join(terms, "term", "left_semi").groupBy("term").agg(F.count(F.lit(1)).alias("n"))
-    counts = stage(counts, "counts")
+    counts = stage(index.groupBy("term").agg(F.count(F.lit(1)).alias("n")), "counts")
     ranked = (
         places.join(counts, "term", "left")
         .groupBy("window")
@@ -109,14 +111,14 @@ def _close(first: DataFrame, second: DataFrame, slack: int) -> DataFrame:
 
     ours = first.withColumn("stretch", stretch(0))
     theirs = second.select(
-        "window_id", "doc_id", F.col("start").alias("other"),
+        "number", "doc_id", F.col("start").alias("other"),
         F.explode(F.array_distinct(F.array(stretch(-slack), stretch(slack)))).alias("stretch"),
     )
-    keys = ["window_id", "doc_id", "stretch"]
+    keys = ["number", "doc_id", "stretch"]
     theirs = theirs.select(*[F.col(k).alias(f"_{k}") for k in keys], "other")
     same = [F.col(k) == F.col(f"_{k}") for k in keys]
     near = reduce(Column.__and__, same) & (F.abs(F.col("start") - F.col("other")) <= slack)
-    return ours.join(theirs, near, "left_semi").select("window_id", "doc_id", "start")
+    return ours.join(theirs, near, "left_semi").select("number", "doc_id", "start")
 
 
 def _around(words: Column, start: Column, n: Column, slack: int) -> Column:
@@ -130,33 +132,27 @@ def occurrences(docs: DataFrame, windows: DataFrame, slack: int = SLACK) -> tupl
 
     Gives (window_id, doc_id, start, n, exact) and (doc_id, n_words).
     """
-    numbered = stage(
-        rarest_terms(docs, windows.select("window").distinct()).withColumn(
-            "window_id", F.sha2(F.array_join("window", " "), 256)
-        ),
-        "windows",
-    )
-    terms = stage(
-        numbered.select(F.explode(F.array("first", "second")).alias("term"))
-        .unionByName(docs.sparkSession.range(1).select(F.lit(END).alias("term")))
-        .distinct(),
-        "terms",
-    )
-    index = positional_index(docs, terms)
+    windows = windows.select("window").distinct()
+    terms = windows.select(F.explode("window").alias("term"))
+    ends = docs.sparkSession.range(1).select(F.lit(END).alias("term"))
+    index = positional_index(docs, stage(terms.unionByName(ends).distinct(), "terms"))
+    # A number each, as rows of the lists carry it.
+    numbered = rarest_terms(index.where(F.col("term") != END), windows)
+    numbered = stage(numbered.withColumn("number", F.monotonically_increasing_id()), "windows")
 
     def starts(which: str) -> DataFrame:
         lists = index.where(F.col("term") != END).withColumnRenamed("term", which)
-        keys = numbered.select("window_id", which, f"{which}_at")
+        keys = numbered.select("number", which, f"{which}_at")
         return lists.join(keys, which).select(
-            "window_id", "doc_id", (F.col("position") - F.col(f"{which}_at")).alias("start")
+            "number", "doc_id", (F.col("position") - F.col(f"{which}_at")).alias("start")
         )
 
     both = _close(starts("first").where(F.col("start") >= -slack), starts("second"), slack)
     candidates = (
         both.distinct()
-        .join(numbered.select("window_id", "window"), "window_id")
+        .join(numbered.select("number", "window"), "number")
         .groupBy("doc_id", F.floor(F.col("start") / 512).alias("part"))
-        .agg(F.collect_list(F.struct("start", "window_id", "window")).alias("found"))
+        .agg(F.collect_list(F.struct("start", "number", "window")).alias("found"))
     )
 
     def judged(words: Column, c: Column) -> Column:
@@ -166,7 +162,7 @@ def occurrences(docs: DataFrame, windows: DataFrame, slack: int = SLACK) -> tupl
         kept = F.size(F.array_intersect(window, _around(words, start, n, slack)))
         near = kept >= F.size(F.array_distinct(window)) - slack
         return F.struct(
-            c["window_id"].alias("window_id"), start.alias("start"), n.alias("n"), exact.alias("exact"), near.alias("near")
+            c["number"].alias("number"), start.alias("start"), n.alias("n"), exact.alias("exact"), near.alias("near")
         )
 
     # Texts travel as they are and are cut into words behind the join.
@@ -174,6 +170,7 @@ def occurrences(docs: DataFrame, windows: DataFrame, slack: int = SLACK) -> tupl
     cut = texts.select("doc_id", "found", words_of(F.col("text")).alias("words"))
     checked = cut.select("doc_id", F.explode(F.transform("found", lambda c: judged(F.col("words"), c))).alias("c"))
     found = checked.select("doc_id", "c.*").where("near").drop("near")
+    found = found.join(numbered.select("number", window_id(F.col("window"))), "number").drop("number")
     n_words = index.where(F.col("term") == END).select("doc_id", F.col("position").cast("bigint").alias("n_words"))
     return found, n_words
 
@@ -192,7 +189,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, sla
         .groupBy("doc_id")
         .agg(F.count(F.lit(1)).alias("n_hit"))
     )
-    of_items = windows.select("item_id", F.sha2(F.array_join("window", " "), 256).alias("window_id"))
+    of_items = windows.select("item_id", window_id(F.col("window")))
     item = F.col("item_id").cast("string")
     items = (
         found.groupBy("doc_id", "window_id")
