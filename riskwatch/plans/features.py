@@ -496,6 +496,8 @@ def sanctioned_exposure(sources: Sources, group_name: str = c.CREDIT_GROUP) -> D
                 "organization_id", "group_id")
         .join(groups, "group_id", "left_semi")
     )
+    # Used twice: for the fields and for the tickets themselves.
+    of_group = stage(of_group)
     # Fields of other groups' tickets go before the pivot.
     fields = pivot_fields(
         sources.table("ticket_field").join(of_group.select("ticket_id"), "ticket_id", "left_semi"),
