@@ -4,11 +4,14 @@ import hashlib
 import random
 import re
 import zlib
+from pathlib import Path
 
 import pytest
 
 from riskwatch.llm import conversations as c
+from riskwatch.llm import queries
 
+SF_DIR = "/root/testdata/sf0.001"
 SCHEMA = "conv_id bigint, turn bigint, role string, text string, code int, edits string"
 FORM = re.compile(r"(s?(ua)+)?")
 
@@ -166,6 +169,20 @@ def test_one_conversation_over_many_partitions(spark):
     assert got[9][2] == 899 and got[7][5] == brute_report([r[1:] for r in rows if r[0] == 7])[5]
 
 
+@pytest.mark.skipif(not Path(SF_DIR).is_dir(), reason="no driver tables")
+def test_query_equals_a_plain_program(spark):
+    """Over a whole table: planned damage, and each conversation alone."""
+    rows = [tuple(r) for r in spark.read.parquet(f"{SF_DIR}/conversations.parquet").select("conv_id", "turn", "role", "text").collect()]
+    hurt = brute_damage(rows)
+    got = {r["conv_id"]: tuple(r)[1:] for r in queries.QUERIES["op11_conversation_repair"](spark, SF_DIR).collect()}
+    assert set(got) == {r[0] for r in rows} and len(got) > 10
+    for conv, found in got.items():
+        turns = sorted([r[1:] for r in hurt if r[0] == conv], key=lambda t: (t[0] is not None, t[0] or 0, t[1], t[2]))
+        assert found == c.report_of(turns)
+        if len(turns) < 5:
+            assert found == brute_report(turns)
+
+
 def test_empty_and_dropped(spark):
     empty = table(spark, [(1, 1, "user", "a")]).limit(0)
     assert c.report(c.damaged(empty)).collect() == [] and c.repair(c.damaged(empty)).collect() == []
