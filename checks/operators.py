@@ -481,10 +481,28 @@ def jon7(spark, sf):
 def jon8(spark, sf):
     """One row per creditor and ticket of its organisation."""
     tables = sources(spark, sf)
-    rows = f.creditor_details(tables).join(f.ticket_review_dates(tables), "organisation_id", "left")
+    rows = joins.many_to_many(
+        f.creditor_details(tables), f.ticket_review_dates(tables), "organisation_id", "creditor_id", "ticket_id"
+    )
     return rows.select("creditor_id", "ticket_id", "next_review_date")
 
 
+@check("jon8_cells", x.query("""
+    SELECT id AS creditor_id, payment.creditor_id AS payer, amount_gbp
+    FROM creditor JOIN payment ON creditor.geo = CASE WHEN amount_gbp > 95000 THEN 'G1' WHEN amount_gbp > 94000 THEN 'G2' END""",
+    "", "amount_gbp"))
+def jon8_cells(spark, sf):
+    """Keys hot on both sides, cut into cells."""
+    tables, amount = sources(spark, sf), col("amount_gbp")
+    left = tables.table("creditor").select(col("id").alias("creditor_id"), "geo")
+    place = F.when(amount > 95_000, "G1").when(amount > 94_000, "G2")
+    right = tables.table("payment").select(
+        col("creditor_id").alias("payer"), "amount_gbp", place.alias("geo"), F.xxhash64("*").alias("_row_hash")
+    )
+    rows = joins.many_to_many(left, right, "geo", "creditor_id", "_row_hash", "inner", cell=16)
+    return rows.select("creditor_id", "payer", s.money(amount).alias("amount_gbp"))
+
+
 @check("jon9", x.query("""
     SELECT creditor_id, merchant_name, salesforce_opportunity_id, merchant_category_code, created_date,
            payment_gbp_amount_in_all_time FROM onboarding""", "created_date", "payment_gbp_amount_in_all_time"))
