@@ -23,6 +23,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 # By application: a folder of a local session that names none, and what was staged.
 _own_folder: dict[str, str] = {}
 _staged: dict[str, list[str]] = {}
+_tables: dict[str, list[str]] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -48,6 +49,13 @@ def new_path(spark: SparkSession, name: str) -> str:
     return path
 
 
+def new_table(spark: SparkSession, path: str, name: str) -> str:
+    """A catalogue name for a table kept at ``path``; ``drop_staged`` drops it."""
+    table = f"{name}_{path[-32:]}"
+    _tables.setdefault(spark.sparkContext.applicationId, []).append(table)
+    return table
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Writes ``df`` to the shared folder and gives back the table.
 
@@ -62,6 +70,8 @@ def stage(df: DataFrame, name: str) -> DataFrame:
 def drop_staged(spark: SparkSession) -> int:
     """Removes what this session's operators wrote to the shared folder; call it
     when their results are written elsewhere."""
+    for table in _tables.pop(spark.sparkContext.applicationId, []):
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
     paths = _staged.pop(spark.sparkContext.applicationId, [])
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
     for name in paths:

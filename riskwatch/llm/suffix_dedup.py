@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskwatch.llm.common import new_path, ship
+from riskwatch.llm.common import new_path, new_table, ship
 
 LENGTH = 100
 GRAM = 32
@@ -420,7 +420,7 @@ def _by_id(df: DataFrame, name: str) -> DataFrame:
     read as they are, without another shuffle."""
     spark = df.sparkSession
     path = new_path(spark, name)
-    table = f"{name}_{path[-32:]}"
+    table = new_table(spark, path, name)
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     writer = df.write.bucketBy(buckets, "doc_id").option("compression", "zstd").option("path", path)
     writer.saveAsTable(table)

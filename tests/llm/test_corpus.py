@@ -118,9 +118,12 @@ def test_the_filter_on_ids_loses_and_adds_none(spark, monkeypatch, bits):
 def test_staged_files_can_be_dropped_and_settings_stay(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(common, "shared_folder", lambda _: str(tmp_path))
     common.drop_staged(spark)
+    before = {t.name for t in spark.catalog.listTables()}
     near_dedup.near_duplicates(plain(spark, near_copies(3, 20, 9))).collect()
-    assert len(list(tmp_path.iterdir())) > 5
+    suffix_dedup.dedup(plain(spark, repeated_passages(1, 20))).collect()
+    assert len(list(tmp_path.iterdir())) > 5 and {t.name for t in spark.catalog.listTables()} > before
     assert common.drop_staged(spark) > 5 and not list(tmp_path.iterdir())
+    assert {t.name for t in spark.catalog.listTables()} <= before
 
 
 def test_components_of_chains_and_hubs(spark):
