@@ -10,19 +10,23 @@ strings of ``length`` bytes are compared, none across documents.
    Later copies of a whole text lose all bytes and go no further.
 2. Documents with such fingerprints send the segment around each place: the
    strings that belong to it. Equal segments of a batch are combined first. A
-   fingerprint of more than ``HOT`` documents is split by content: strings that
+   fingerprint of more than ``HOT`` places is split by content: strings that
    start within ``WIDTH`` bytes before its place share a core, and its bytes are
    the key, so different texts around one passage go to different tasks.
-3. Segments meet by fingerprint. A task cuts them into shards of bounded size,
+3. Segments meet by fingerprint. A task cuts them into shards of ``SHARD`` bytes,
    sorts a shard's suffixes by refinement in the manner of Larsson and Sadakane
    (groups doubled in depth, only unsorted ones touched), and takes common
    prefixes by Kasai's walk. Neighbours that share ``length`` bytes are one
-   class; all but its first member are removed. A fingerprint that spans shards
-   is merged by binary search in the sorted strings of its earlier shards.
-4. Covered bytes are united per document and cut out.
+   class; all but its first member are removed. One shard is held at a time.
+4. Shards of a fingerprint that spans several are written with the order of their
+   strings. Each (shard, earlier shard) is a group of its own, which one task
+   merges by binary search of the later one's strings in the earlier one's.
+5. Covered bytes are united per document and cut out.
 
 How it scales: the text is shuffled once, by id, for the documents that share
 something; the rest moves as fingerprints. Copies are combined before they move.
+A task of the matching holds a shard, one of the merging holds two, whatever the
+input; a key of n shards is merged by n (n - 1) / 2 groups.
 
 Defined results: a null text is an empty one. Texts shorter than ``length`` keep
 all bytes, and so do rows without ``doc_id``. Rows that repeat an id are the same
@@ -33,7 +37,6 @@ document: their equal starts do not remove each other, and each gives a row. Onl
 from __future__ import annotations
 
 import hashlib
-from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -41,13 +44,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskwatch.llm.common import new_path, new_table, ship
+from riskwatch.llm.common import new_path, new_table, ship, stage
 
 LENGTH = 100
 GRAM = 32
 BLOCK = 1 << 20
 PIECE = 8 << 20
-SHARD = 2 << 20
+SHARD = 1 << 19
 HOT = 10_000
 WIDTH = 8
 PLACE = np.uint64((1 << 24) - 1)
@@ -112,7 +115,7 @@ def _bytes_of(column: pa.Array) -> list[bytes]:
 
 
 def _fingerprints(length: int):
-    names = ["fp", "doc_id", "many"]
+    names = ["fp", "doc_id", "places"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -123,8 +126,8 @@ def _fingerprints(length: int):
                 order = np.lexsort((fp, doc))
                 doc, fp = doc[order], fp[order]
                 first = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (fp[1:] != fp[:-1])]))
-                many = np.diff(np.append(first, len(fp))) > 1
-                yield pa.RecordBatch.from_arrays([pa.array(fp[first]), pa.array(doc[first]), pa.array(many)], names=names)
+                places = np.diff(np.append(first, len(fp))).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([pa.array(fp[first]), pa.array(doc[first]), pa.array(places)], names=names)
 
     return run
 
@@ -247,19 +250,36 @@ def common_prefixes(raw: bytes, order: np.ndarray, places: np.ndarray, least: in
 
 Row = tuple[int, int, int, bytes]
 Cover = tuple[int, int, int]
+COVER = [("doc_id", pa.int64()), ("at", pa.int64()), ("size", pa.int64())]
+#: A written shard: its bytes, its classes' first strings in the order of their
+#: bytes, and of each segment the id, the start in its document and here.
+STORED = [("fp", pa.int64()), ("shard", pa.int32()), *((c, pa.binary()) for c in ("raw", "firsts", "doc", "start", "begin"))]
+
+
+def _covers(at: np.ndarray, doc: np.ndarray, start: np.ndarray, begin: np.ndarray, length: int) -> list[Cover]:
+    """(doc_id, first byte, size) of the runs of strings ``at``, within segments."""
+    if not len(at):
+        return []
+    owner = np.searchsorted(begin, at, "right") - 1
+    cut = np.flatnonzero((np.diff(at) > 1) | (np.diff(owner) > 0)) + 1
+    first, last = at[np.concatenate([[0], cut])], at[np.concatenate([cut - 1, [len(at) - 1]])]
+    own = owner[np.concatenate([[0], cut])]
+    places = first - begin[own] + start[own]
+    return list(zip(doc[own].tolist(), places.tolist(), (last - first + length).tolist(), strict=True))
 
 
 class _Shard:
     """Segments laid end to end, their strings sorted and put into classes."""
 
     def __init__(self, rows: list[Row], length: int):
-        self.rows, self.length = rows, length
+        self.length = length
         sizes = np.array([len(r[3]) for r in rows])
         ends = np.cumsum(sizes)
         self.raw = b"".join(r[3] for r in rows)
-        self.owner = np.repeat(np.arange(len(rows)), sizes)
         self.doc = np.array([r[1] for r in rows], np.int64)
-        self.shift = np.array([r[2] for r in rows], np.int64) - (ends - sizes)
+        self.start = np.array([r[2] for r in rows], np.int64)
+        self.begin = ends - sizes
+        owner = np.repeat(np.arange(len(rows)), sizes)
         data = np.frombuffer(self.raw, np.uint8)
         order, new, before, known = suffix_order(data, length)
         unsure = np.flatnonzero(new & ~before)
@@ -268,66 +288,72 @@ class _Shard:
         kind = np.empty(len(data), np.int64)
         kind[order] = np.cumsum(new)
         # Whole strings; by class, then as they stand, which is by id and start.
-        at = np.flatnonzero(np.arange(len(data)) + length <= ends[self.owner])
+        at = np.flatnonzero(np.arange(len(data)) + length <= ends[owner])
         by_kind = at[np.argsort(kind[at], kind="stable")]
         head = np.concatenate([[True], np.diff(kind[by_kind]) != 0])
         #: The first of each class, in the order of their bytes.
         self.firsts = by_kind[head]
         first = np.empty(len(data), np.int64)
         first[by_kind] = np.repeat(self.firsts, np.diff(np.append(np.flatnonzero(head), len(by_kind))))
-        self.at = at
-        self.gone = ~self._same_start(at, self, first[at])
-
-    def _same_start(self, mine: np.ndarray, other: _Shard, theirs: np.ndarray) -> np.ndarray:
-        a, b = self.owner[mine], other.owner[theirs]
-        return (self.doc[a] == other.doc[b]) & (mine + self.shift[a] == theirs + other.shift[b])
-
-    def merge(self, earlier: list[_Shard]) -> None:
-        """Strings that an earlier shard of the fingerprint holds, by binary search."""
-        for k in np.flatnonzero(~self.gone).tolist():
-            i = int(self.at[k])
-            string = self.raw[i : i + self.length]
-            for shard in earlier:
-                j = shard.find(string)
-                if j is not None and not self._same_start(np.array([i]), shard, np.array([j]))[0]:
-                    self.gone[k] = True
-                    break
-
-    def find(self, string: bytes) -> int | None:
-        raw, length = self.raw, self.length
-        k = bisect_left(self.firsts, string, key=lambda i: raw[i : i + length])
-        if k < len(self.firsts) and raw[self.firsts[k] : self.firsts[k] + length] == string:
-            return int(self.firsts[k])
-        return None
+        mine, theirs, place = owner[at], owner[first[at]], self.start - self.begin
+        same = (self.doc[mine] == self.doc[theirs]) & (at + place[mine] == first[at] + place[theirs])
+        self.gone = at[~same]
 
     def covers(self) -> list[Cover]:
-        """(doc_id, first byte, size) of the removed runs within segments."""
-        at = self.at[self.gone]
-        if not len(at):
-            return []
-        owner = self.owner[at]
-        cut = np.flatnonzero((np.diff(at) > 1) | (np.diff(owner) > 0)) + 1
-        first, last = at[np.concatenate([[0], cut])], at[np.concatenate([cut - 1, [len(at) - 1]])]
-        own = self.owner[first]
-        sizes = last - first + self.length
-        return list(zip(self.doc[own].tolist(), (first + self.shift[own]).tolist(), sizes.tolist(), strict=True))
+        return _covers(self.gone, self.doc, self.start, self.begin, self.length)
+
+    def stored(self, fp: int, shard: int) -> tuple:
+        ints = (self.firsts, self.doc, self.start, self.begin)
+        return fp, shard, self.raw, *(x.astype("<i8").tobytes() for x in ints)
+
+
+def _strings(raw: bytes, at: np.ndarray, length: int) -> np.ndarray:
+    windows = np.lib.stride_tricks.sliding_window_view(np.frombuffer(raw, np.uint8), length)
+    return np.ascontiguousarray(windows[at]).view(f"S{length}").ravel()
+
+
+def merge(later: dict, earlier: dict, length: int) -> list[Cover]:
+    """What the later of two stored shards loses: strings that the earlier one
+    holds, found by binary search in the order of its strings.
+
+    Later strings are the first of their classes; the others are removed already.
+    A string at the very same place of a repeated id is no other string.
+    """
+    shards = [{c: np.frombuffer(s[c], "<i8") for c in ("firsts", "doc", "start", "begin")} for s in (later, earlier)]
+    (mine, theirs), found = shards, []
+    sought = _strings(earlier["raw"], theirs["firsts"], length)
+
+    def origin(shard: dict, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        owner = np.searchsorted(shard["begin"], at, "right") - 1
+        return shard["doc"][owner], at - shard["begin"][owner] + shard["start"][owner]
+
+    for k in range(0, len(mine["firsts"]), 1 << 16):
+        at = mine["firsts"][k : k + (1 << 16)]
+        strings = _strings(later["raw"], at, length)
+        place = np.minimum(np.searchsorted(sought, strings), len(sought) - 1)
+        equal = sought[place] == strings
+        at, there = at[equal], theirs["firsts"][place[equal]]
+        (doc, start), (other, before) = origin(mine, at), origin(theirs, there)
+        found.append(at[(doc != other) | (start != before)])
+    return _covers(np.sort(np.concatenate(found)), mine["doc"], mine["start"], mine["begin"], length)
 
 
 class _Sharder:
-    """Takes segments ordered by fingerprint, id and place; gives covered ranges."""
+    """Takes segments ordered by fingerprint, id and place; gives covered ranges,
+    and puts shards of fingerprints that span several into ``stored``."""
 
-    def __init__(self, length: int):
-        self.length = length
+    def __init__(self, length: int, shard: int):
+        self.length, self.limit = length, shard
         self.fp: int | None = None
         self.ready: list[Row] = []
         self.held = 0
+        self.stored: list[tuple] = []
         self._begin()
 
     def _begin(self) -> None:
         self.mine: list[Row] = []
         self.seen: dict[bytes, tuple[int, int]] = {}
-        self.size = 0
-        self.earlier: list[_Shard] = []
+        self.size = self.shards = 0
 
     def add(self, row: Row) -> list[Cover]:
         fp, doc, at, string = row
@@ -339,55 +365,91 @@ class _Sharder:
             return [*out, (doc, at, len(string))]
         self.mine.append(row)
         self.size += len(string)
-        if self.size >= SHARD:
+        if self.size >= self.limit:
             out += self._part()
         return out
 
     def _part(self) -> list[Cover]:
         """A shard out of the open fingerprint alone."""
         shard = _Shard(self.mine, self.length)
-        shard.merge(self.earlier)
-        self.earlier.append(shard)
+        self.stored.append(shard.stored(self.fp, self.shards))
         self.mine, self.seen, self.size = [], {}, 0
+        self.shards += 1
         return shard.covers()
 
     def end(self, last: bool = False) -> list[Cover]:
         """The open fingerprint is complete; segments without a partner go."""
         out = []
-        if self.earlier and self.mine:
+        if self.shards and self.mine:
             out += self._part()
         elif len(self.mine) > 1:
             self.ready += self.mine
             self.held += self.size
         self._begin()
-        if self.ready and (last or self.held >= SHARD):
+        if self.ready and (last or self.held >= self.limit):
             out += _Shard(self.ready, self.length).covers()
             self.ready, self.held = [], 0
         return out
 
 
-def _match(length: int):
-    names = ["doc_id", "at", "size"]
+def _match(length: int, size: int):
+    """Covered ranges, and beside them stored shards in columns of their own."""
+    schema = pa.schema([*COVER, *STORED])
 
-    def batch_of(covers: list[Cover]) -> pa.RecordBatch:
-        columns = list(zip(*covers, strict=True)) or [(), (), ()]
-        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=names)
+    def batch_of(rows: list[tuple], first: int) -> pa.RecordBatch:
+        columns = list(zip(*rows, strict=True))
+        arrays = [pa.nulls(len(rows), field.type) for field in schema]
+        for k, column in enumerate(columns, first):
+            arrays[k] = pa.array(column, schema[k].type)
+        return pa.RecordBatch.from_arrays(arrays, schema=schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sharder = _Sharder(length)
+        sharder = _Sharder(length, size)
         for batch in batches:
             covers: list[Cover] = []
-            for fp, doc, at, size, string in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for fp, doc, at, n, string in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if string is None:
-                    covers.append((doc, at, size))
+                    covers.append((doc, at, n))
                 else:
                     covers += sharder.add((fp, doc, at, string))
-            yield batch_of(covers)
-        yield batch_of(sharder.end(last=True))
+                if sharder.stored:
+                    yield batch_of(sharder.stored, len(COVER))
+                    sharder.stored = []
+            yield batch_of(covers, 0)
+        yield batch_of(sharder.end(last=True), 0)
+        yield batch_of(sharder.stored, len(COVER))
+
+    return run
+
+
+def _merge_pair(length: int):
+    def run(pair: pa.Table) -> pa.Table:
+        earlier, later = sorted(pair.to_pylist(), key=lambda s: s["shard"])
+        columns = list(zip(*merge(later, earlier, length), strict=True)) or [()] * len(COVER)
+        return pa.table([pa.array(c, kind) for c, (_, kind) in zip(columns, COVER, strict=True)], schema=pa.schema(COVER))
 
     return run
 
 
+def merged(shards: DataFrame, length: int) -> DataFrame:
+    """(doc_id, at, size): ranges that shards lose to earlier ones of their key.
+
+    A shard goes once to each pair that it is part of, and a pair is a group: any
+    task may take it, and holds its two shards.
+    """
+    number = shards.groupBy("fp").agg(F.max("shard").alias("last")).where("last > 0")
+    other = F.explode(F.sequence(F.lit(0), "last"))
+    pairs = (
+        shards.join(number, "fp")
+        .withColumn("other", other)
+        .where("other <> shard")
+        .withColumn("low", F.least("shard", "other"))
+        .withColumn("high", F.greatest("shard", "other"))
+        .drop("last", "other")
+    )
+    return pairs.groupBy("fp", "low", "high").applyInArrow(_merge_pair(length), "doc_id long, at long, size long")
+
+
 def cut_out(text: bytes, covers: list[tuple[int, int]]) -> tuple[bytes, int]:
     """What is left without the (first byte, size) ranges, and the removed runs."""
     kept, runs, done = [], 0, 0
@@ -427,7 +489,7 @@ def _by_id(df: DataFrame, name: str) -> DataFrame:
     return spark.table(table)
 
 
-def covered(docs: DataFrame, length: int = LENGTH) -> DataFrame:
+def covered(docs: DataFrame, length: int = LENGTH, shard: int = SHARD) -> DataFrame:
     """(doc_id, text, covers): documents with repeated strings and their ranges.
 
     Later copies of a whole text are left out; they lose all bytes.
@@ -436,19 +498,28 @@ def covered(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where(
         F.col("doc_id").isNotNull() & (F.octet_length("text") >= length)
     )
-    prints = source.mapInArrow(_fingerprints(length), "fp long, doc_id long, many boolean")
+    prints = source.mapInArrow(_fingerprints(length), "fp long, doc_id long, places int")
     alike = Window.partitionBy("fp")
-    shared = prints.withColumn("n", F.count(F.lit(1)).over(alike)).where((F.col("n") > 1) | F.col("many"))
+    shared = prints.withColumn("n", F.sum("places").over(alike)).where("n > 1")
     of_doc = shared.groupBy("doc_id").agg(
         F.collect_set("fp").alias("fps"), F.collect_set(F.when(F.col("n") > HOT, F.col("fp"))).alias("hot")
     )
     firsts = _firsts(source.select("doc_id", F.sha2("text", 256).alias("text_sha"))).select(F.col("first").alias("doc_id")).distinct()
     suspects = _by_id(source.join(of_doc.join(firsts, "doc_id", "left_semi"), "doc_id"), "suspects")
     segments = suspects.mapInArrow(_segments(length), "fp long, doc_id long, at long, size int, bytes binary")
+    matched = stage(
+        segments.repartition("fp").sortWithinPartitions("fp", "doc_id", "at").mapInArrow(
+            _match(length, shard),
+            "doc_id long, at long, size long, fp long, shard int, "
+            "raw binary, firsts binary, doc binary, start binary, begin binary",
+        ),
+        "matched",
+    )
+    shards = matched.where("fp IS NOT NULL").select([name for name, _ in STORED])
     covers = (
-        segments.repartition("fp")
-        .sortWithinPartitions("fp", "doc_id", "at")
-        .mapInArrow(_match(length), "doc_id long, at long, size long")
+        matched.where("fp IS NULL")
+        .select("doc_id", "at", "size")
+        .unionByName(merged(shards, length))
         .groupBy("doc_id")
         .agg(F.collect_list(F.struct("at", "size")).alias("covers"))
     )
@@ -460,7 +531,7 @@ def _firsts(rows: DataFrame) -> DataFrame:
     return rows.groupBy("text_sha").agg(F.min("doc_id").alias("first"))
 
 
-def dedup(docs: DataFrame, length: int = LENGTH) -> DataFrame:
+def dedup(docs: DataFrame, length: int = LENGTH, shard: int = SHARD) -> DataFrame:
     """Per row: n_bytes, n_removed, n_spans and the remaining bytes' sha256."""
     text = F.coalesce("text", F.lit(""))
     base = docs.select(
@@ -468,7 +539,7 @@ def dedup(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         F.octet_length(text).cast("bigint").alias("n_bytes"),
         F.sha2(text, 256).alias("text_sha"),
     )
-    lost = covered(docs, length).mapInArrow(
+    lost = covered(docs, length, shard).mapInArrow(
         _remove, "doc_id long, text_sha string, left long, n_spans long, kept_sha256 string"
     )
     joined = base.join(_firsts(base), "text_sha", "left").join(

@@ -178,6 +178,34 @@ def test_split_fingerprints_change_nothing(spark, monkeypatch, seed):
     assert got == brute_removed(rows, suffix_dedup.LENGTH)
 
 
+@pytest.mark.parametrize("hot", [1, 10**6])
+def test_shards_of_one_key_meet_as_rows(spark, monkeypatch, hot):
+    """Shards of a few segments, so that nearly every repeat spans two of them."""
+    monkeypatch.setattr(suffix_dedup, "HOT", hot)
+    rows = [*repeated_passages(4), (9_999, "x\0" * 150), (9_998, "x\0" * 120 + "\0" * 130)]
+    got = {r["doc_id"]: tuple(r)[1:] for r in suffix_dedup.dedup(plain(spark, rows), shard=400).collect()}
+    assert got == brute_removed(rows, suffix_dedup.LENGTH)
+
+
+def test_a_key_over_many_shards_is_told_once(spark):
+    """(doc_id, at, size) of what later shards lose: every pair of shards is compared."""
+    length, pick = suffix_dedup.LENGTH, random.Random(7)
+    texts = [sentence(pick, 40).encode()[:length] for _ in range(12)]
+    shards = []
+    for k in range(5):
+        rows = [(1, 10 * k + j, 0, t) for j, t in enumerate(pick.sample(texts, 6))]
+        shards.append((rows, suffix_dedup._Shard(rows, length).stored(1, k)))
+    table = spark.createDataFrame(
+        [s for _, s in shards], "fp long, shard int, raw binary, firsts binary, doc binary, start binary, begin binary"
+    )
+    got = {tuple(r) for r in suffix_dedup.merged(table, length).collect()}
+    seen, want = set(), set()
+    for rows, _ in shards:
+        want |= {(doc, at, length) for _, doc, at, t in rows if t in seen}
+        seen |= {t for *_, t in rows}
+    assert got == want
+
+
 def test_a_hot_fingerprint_is_spread_by_its_texts():
     """A passage between other texts in each document: most keys hold few strings."""
     length, pick = suffix_dedup.LENGTH, random.Random(3)
@@ -198,7 +226,6 @@ def test_a_hot_fingerprint_is_spread_by_its_texts():
 @pytest.mark.parametrize("shard, block, piece", [(1, 1, 150), (3000, 4000, 700), (1 << 21, 1 << 20, 8 << 20)])
 def test_shards_pieces_and_blocks_change_nothing(monkeypatch, shard, block, piece):
     """One fingerprint over many shards is merged by binary search."""
-    monkeypatch.setattr(suffix_dedup, "SHARD", shard)
     monkeypatch.setattr(suffix_dedup, "BLOCK", block)
     monkeypatch.setattr(suffix_dedup, "PIECE", piece)
     length, rows = suffix_dedup.LENGTH, sorted(repeated_passages(3, 40))
@@ -210,8 +237,13 @@ def test_shards_pieces_and_blocks_change_nothing(monkeypatch, shard, block, piec
             for k in range(len(fp)):
                 a, b = int(first[k]), int(last[k]) + length
                 segments.append((int(fp[k]), doc, part[owner[k]][1] + a - int(starts[owner[k]]), data.tobytes()[a:b]))
-    sharder, covers = suffix_dedup._Sharder(length), {}
+    sharder, covers = suffix_dedup._Sharder(length, shard), {}
     found = [c for s in sorted(segments) for c in sharder.add(s)] + sharder.end(last=True)
+    stored = [dict(zip([name for name, _ in suffix_dedup.STORED], s, strict=True)) for s in sharder.stored]
+    for later in stored:
+        for earlier in stored:
+            if earlier["fp"] == later["fp"] and earlier["shard"] < later["shard"]:
+                found += suffix_dedup.merge(later, earlier, length)
     for doc, at, size in found:
         covers.setdefault(doc, []).append((at, size))
     want = brute_removed(rows, length)
