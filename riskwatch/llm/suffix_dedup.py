@@ -44,7 +44,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskwatch.llm.common import new_path, new_table, ship, stage
+from riskwatch.llm.common import new_path, new_table, release, ship, stage
 
 LENGTH = 100
 GRAM = 32
@@ -486,6 +486,7 @@ def _by_id(df: DataFrame, name: str) -> DataFrame:
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     writer = df.write.bucketBy(buckets, "doc_id").option("compression", "zstd").option("path", path)
     writer.saveAsTable(table)
+    release(spark)
     return spark.table(table)
 
 
