@@ -253,7 +253,8 @@ Cover = tuple[int, int, int]
 COVER = [("doc_id", pa.int64()), ("at", pa.int64()), ("size", pa.int64())]
 #: A written shard: its bytes, its classes' first strings in the order of their
 #: bytes, and of each segment the id, the start in its document and here.
-STORED = [("fp", pa.int64()), ("shard", pa.int32()), *((c, pa.binary()) for c in ("raw", "firsts", "doc", "start", "begin"))]
+INTS = {"firsts": "<i4", "doc": "<i8", "start": "<i8", "begin": "<i4"}
+STORED = [("fp", pa.int64()), ("shard", pa.int32()), *((c, pa.binary()) for c in ("raw", *INTS))]
 
 
 def _covers(at: np.ndarray, doc: np.ndarray, start: np.ndarray, begin: np.ndarray, length: int) -> list[Cover]:
@@ -303,8 +304,8 @@ class _Shard:
         return _covers(self.gone, self.doc, self.start, self.begin, self.length)
 
     def stored(self, fp: int, shard: int) -> tuple:
-        ints = (self.firsts, self.doc, self.start, self.begin)
-        return fp, shard, self.raw, *(x.astype("<i8").tobytes() for x in ints)
+        columns = {"firsts": self.firsts, "doc": self.doc, "start": self.start, "begin": self.begin}
+        return fp, shard, self.raw, *(x.astype(INTS[c]).tobytes() for c, x in columns.items())
 
 
 def _strings(raw: bytes, at: np.ndarray, length: int) -> np.ndarray:
@@ -319,7 +320,7 @@ def merge(later: dict, earlier: dict, length: int) -> list[Cover]:
     Later strings are the first of their classes; the others are removed already.
     A string at the very same place of a repeated id is no other string.
     """
-    shards = [{c: np.frombuffer(s[c], "<i8") for c in ("firsts", "doc", "start", "begin")} for s in (later, earlier)]
+    shards = [{c: np.frombuffer(s[c], kind).astype(np.int64) for c, kind in INTS.items()} for s in (later, earlier)]
     (mine, theirs), found = shards, []
     sought = _strings(earlier["raw"], theirs["firsts"], length)
 

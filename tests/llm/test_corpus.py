@@ -223,12 +223,14 @@ def test_a_hot_fingerprint_is_spread_by_its_texts():
     assert max(strings.values()) > 300 * length and max(keys.values()) < max(strings.values()) / 3
 
 
-@pytest.mark.parametrize("shard, block, piece", [(1, 1, 150), (3000, 4000, 700), (1 << 21, 1 << 20, 8 << 20)])
-def test_shards_pieces_and_blocks_change_nothing(monkeypatch, shard, block, piece):
+@pytest.mark.parametrize(
+    "n, shard, block, piece", [(40, 300, 1, 150), (40, 900, 1, 150), (40, 3000, 4000, 700), (40, 1 << 21, 1 << 20, 8 << 20)]
+)
+def test_shards_pieces_and_blocks_change_nothing(monkeypatch, n, shard, block, piece):
     """One fingerprint over many shards is merged by binary search."""
     monkeypatch.setattr(suffix_dedup, "BLOCK", block)
     monkeypatch.setattr(suffix_dedup, "PIECE", piece)
-    length, rows = suffix_dedup.LENGTH, sorted(repeated_passages(3, 40))
+    length, rows = suffix_dedup.LENGTH, sorted(repeated_passages(3, n))
     segments = []
     for doc, text in rows:
         for part in suffix_dedup._pieces([text.encode()], length):
@@ -240,9 +242,13 @@ def test_shards_pieces_and_blocks_change_nothing(monkeypatch, shard, block, piec
     sharder, covers = suffix_dedup._Sharder(length, shard), {}
     found = [c for s in sorted(segments) for c in sharder.add(s)] + sharder.end(last=True)
     stored = [dict(zip([name for name, _ in suffix_dedup.STORED], s, strict=True)) for s in sharder.stored]
-    for later in stored:
-        for earlier in stored:
-            if earlier["fp"] == later["fp"] and earlier["shard"] < later["shard"]:
+    keys = {}
+    for s in stored:
+        keys.setdefault(s["fp"], []).append(s)
+    for shards in keys.values():
+        for k, later in enumerate(shards):
+            assert later["shard"] == k
+            for earlier in shards[:k]:
                 found += suffix_dedup.merge(later, earlier, length)
     for doc, at, size in found:
         covers.setdefault(doc, []).append((at, size))
