@@ -67,15 +67,6 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def release(spark: SparkSession) -> None:
-    """Lets shuffle files of finished jobs go before the next job writes its own.
-
-    Spark removes them once the driver's garbage collection has met their plan,
-    which may be long after the table is written that they were made for.
-    """
-    spark._jvm.System.gc()
-
-
 def drop_staged(spark: SparkSession) -> int:
     """Removes what this session's operators wrote to the shared folder; call it
     when their results are written elsewhere."""
