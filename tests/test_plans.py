@@ -268,6 +268,24 @@ def test_an_organisation_hot_on_both_sides_is_cut_into_cells(spark, no_broadcast
     assert max(tasks) < 25_000
 
 
+def test_repeats_of_a_hot_key_grow_with_its_rows(spark):
+    """Four times the rows are sixteen times the pairs, and four times what is shuffled."""
+
+    def cut(ours, theirs, **limits):
+        sides = [spark.range(n).select(F.lit("hot").alias("o")) for n in (ours, theirs)]
+        [(_, rows, columns)] = hot_cells(*sides, "o", 16, **limits).collect()
+        return rows, columns, ours * columns + theirs * rows
+
+    once, more = cut(2_000, 20_000), cut(8_000, 80_000)
+    assert more[2] <= 4.1 * once[2] < 100 * 22_000
+    # enough cells for many tasks, and a long side beside a short one is cut alone
+    assert 1_000 < once[0] * once[1] < 1_200
+    assert cut(10, 80_000)[:2] == (1, 1_024)
+    assert cut(80_000, 10)[:2] == (1_024, 1)
+    # a task holds a slice of the right side
+    assert cut(8_000, 80_000, held=100)[1] == 800
+
+
 # --- Against brute force ----------------------------------------------------
 
 
