@@ -2,6 +2,7 @@
 
 from datetime import timedelta
 from decimal import Decimal
+from hashlib import md5
 
 import pytest
 from pyspark.sql import functions as F
@@ -63,6 +64,28 @@ def test_checksums_see_changed_moved_and_repeated_values(spark):
     assert lines([])["*"] == (0, 0, "0")
 
 
+def test_checksums_are_summed_as_integers_and_exact(spark):
+    """The sums pass 64 bits; they are kept as integers, and booleans are not hashed row by row."""
+    rows = spark.range(1_000).selectExpr("id", "if(id % 7 = 0, null, id % 3 = 0) AS paid", "cast(null AS boolean) AS none")
+    lines = fingerprint(rows)
+    plan = lines._jdf.queryExecution().optimizedPlan().toString()
+    # one hash for the ids and one for whole rows
+    assert plan.count("md5(") == 2 and "decimal(38,0)" not in plan
+
+    def checksum(texts):
+        return str(sum(int(md5(t.encode()).hexdigest()[:15], 16) for t in texts))
+
+    ids, paid = range(1_000), [None if k % 7 == 0 else str(k % 3 == 0).lower() for k in range(1_000)]
+    whole = [f"{len(str(k))}:{k}{'-' if p is None else f'{len(p)}:{p}'}-" for k, p in zip(ids, paid, strict=True)]
+    known = [p for p in paid if p is not None]
+    assert [tuple(r) for r in lines.collect()] == [
+        ("id", 1_000, 0, checksum(map(str, ids))),
+        ("paid", 1_000, 143, checksum(known)),
+        ("none", 1_000, 1_000, "0"),
+        ("*", 1_000, 0, checksum(whole)),
+    ]
+
+
 def test_log_fields_are_scalars_and_parse_once(spark):
     documents = [
         '{"a":"x","b":1.50,"c":null}', '{"a":{"b":1},"b":[1],"c":"[text]"}', '{"a":"{","b":true}', "broken", None,
