@@ -61,6 +61,13 @@ def _hashed(value: Column, text: Column, kind: T.DataType) -> Column:
     return _number(text)
 
 
+def _measured(value: Column, text: Column, kind: T.DataType) -> Column:
+    """A value's text behind its length, so that whole rows are told apart."""
+    if isinstance(kind, T.BooleanType):
+        return F.when(value, "4:true").when(~value, "5:false").otherwise("-")
+    return F.coalesce(F.concat(F.char_length(text).cast("string"), F.lit(":"), text), F.lit("-"))
+
+
 def _part(number: Column, place: int) -> Column:
     return F.shiftright(number, PART_BITS * place).bitwiseAND(F.lit((1 << PART_BITS) - 1))
 
@@ -82,7 +89,7 @@ def fingerprint(df: DataFrame) -> DataFrame:
     columns = [(name, F.col(_quoted(name)), kind) for name, kind in leaves(df.schema)]
     texts = [as_text(value, kind) for _, value, kind in columns]
     whole = F.concat(*[
-        F.coalesce(F.concat(F.char_length(text).cast("string"), F.lit(":"), text), F.lit("-")) for text in texts
+        _measured(value, text, kind) for (_, value, kind), text in zip(columns, texts, strict=True)
     ])
     numbers = [_hashed(value, text, kind) for (_, value, kind), text in zip(columns, texts, strict=True)]
     names = [*[name for name, _, _ in columns], WHOLE_ROW]
