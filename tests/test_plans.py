@@ -8,12 +8,12 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from checks import binding
+from checks import binding, catalog
 from checks.params import CHARGEBACK, INSOLVENCY, RE_REVIEW, SCORE_DROP
 from riskwatch import PIPELINES, Sources, run
 from riskwatch import config as c
 from riskwatch.operators import staging
-from riskwatch.operators.joins import hot_cells, many_to_many, spread_lookup
+from riskwatch.operators.joins import hot_cells, many_to_many, packed, spread_lookup, told_apart
 from riskwatch.operators.rows import latest, with_previous
 from riskwatch.operators.staging import stage
 from riskwatch.plans import features as f
@@ -286,6 +286,63 @@ def test_repeats_of_a_hot_key_grow_with_its_rows(spark):
     assert cut(8_000, 80_000, held=100)[1] == 800
 
 
+def test_packs_hold_every_row_once_and_no_more_than_their_size(spark):
+    rows = spark.createDataFrame(
+        [(k % 90 or None, pick) for k, pick in enumerate(["hot", "hot", "a", None] * 100)] + [(7, "hot")] * 500,
+        "c int, o string")
+    packs = packed(rows, "o", "c", 20).cache()
+    back = packs.select("o", F.inline("_packed")).select("c", "o")
+    assert sorted(back.collect(), key=str) == sorted(rows.collect(), key=str)
+    assert packs.agg(F.max(F.size("_packed"))).first()[0] == 20
+    assert packs.select("o", "_pack").distinct().count() == packs.count() < 100
+
+
+def test_equal_rows_are_divided_evenly(spark):
+    rows = spark.createDataFrame([(1, 2.0), (None, None)], "a int, b double").crossJoin(spark.range(3_000)).drop("id")
+    slices = told_apart(rows, "by").groupBy("a", "b", F.pmod("by", F.lit(10))).count().collect()
+    assert len(slices) == 20 and max(r["count"] for r in slices) < 450
+    assert sum(r["count"] for r in slices) == 6_000
+
+
+def test_all_pairs_of_a_hot_key_take_few_bytes(spark, tmp_path):
+    """Nine million pairs, some of equal payments, in files of under half a byte a pair."""
+    when = F.to_date(F.lit("2001-07-01")).cast("timestamp_ntz")
+    customer = spark.range(3_050).select(
+        F.col("id").alias("c_custkey"), F.concat(F.lit("n"), "id").alias("c_name"),
+        F.when(F.col("id") < 3_000, 1).when(F.col("id") < 3_020, 2).when(F.col("id") < 3_030, 3).cast("int").alias("c_nationkey"),
+        F.lit(0.0).alias("c_acctbal"), F.lit("M").alias("c_mktsegment"))
+    orders = spark.range(1_000).select(
+        F.col("id").alias("o_orderkey"), (F.col("id") * 7).alias("o_custkey"), F.lit("F").alias("o_orderstatus"),
+        F.lit(1.0).alias("o_totalprice"), when.alias("o_orderdate"))
+    lineitem = spark.range(3_300).select(
+        (F.col("id") % 1_000).alias("l_orderkey"), F.lit(1).alias("l_linenumber"),
+        F.when(F.col("id") < 2_900, 95_001 + F.col("id") / 7).when(F.col("id") < 3_000, 96_000.5)
+        .when(F.col("id") < 3_100, 94_500.0).when(F.col("id") < 3_200, 100.0).alias("l_extendedprice"),
+        F.lit("N").alias("l_returnflag"), F.lit("F").alias("l_linestatus"), when.alias("l_shipdate"))
+    # equal payments
+    lineitem = lineitem.union(lineitem.where("l_extendedprice = 96000.5 AND l_orderkey < 950"))
+    for name, table in {"customer": customer, "orders": orders, "lineitem": lineitem}.items():
+        table.write.parquet(str(tmp_path / f"{name}.parquet"))
+
+    catalog.QUERIES["jon8_cells"](spark, str(tmp_path)).write.parquet(str(tmp_path / "pairs"))
+    pairs = spark.read.parquet(str(tmp_path / "pairs"))
+
+    amount = F.col("l_extendedprice")
+    paying = lineitem.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
+        F.concat(F.lit("CR"), "o_custkey").alias("payer"), amount.cast("decimal(18,2)").cast("double").alias("amount_gbp"),
+        F.when(amount > 95_000, 1).when(amount > 94_000, 2).alias("c_nationkey"))
+    plain = customer.join(paying, "c_nationkey").select(
+        F.concat(F.lit("CR"), "c_custkey").alias("creditor_id"), "payer", "amount_gbp")
+
+    def told(rows):
+        return rows.agg(F.count(F.lit(1)), F.sum(F.xxhash64("creditor_id", "payer", "amount_gbp").cast("decimal(38,0)"))).first()
+
+    assert told(pairs) == told(plain)
+    assert told(pairs)[0] == 3_000 * 3_050 + 20 * 100
+    size = sum(file.stat().st_size for file in (tmp_path / "pairs").glob("*.parquet"))
+    assert size < told(pairs)[0] / 2
+
+
 # --- Against brute force ----------------------------------------------------
 
 
